@@ -16,7 +16,7 @@ def classify_state(
     bagged: str = params.BAGGED_STATE,
 ) -> Column:
     """``Bagged``, ``Running``, ``Idle`` or, for everything else and for null, ``Down``."""
-    name = F.regexp_replace(state, r"^\s+|\s+$", "")
+    name = F.btrim(state, F.lit(" \t\n\r\x0b\x0c"))
     return (
         F.when(name == bagged, "Bagged")
         .when(name.isin(*running), "Running")
