@@ -34,7 +34,7 @@ def hours_by_category(classified: DataFrame) -> DataFrame:
     """Hours per tool, day and category; no known hours add up to zero."""
     keys = [*_TOOL, "state_date", "state_category"]
     return (
-        drop_null_keys(classified, keys)
+        drop_null_keys(classified, _TOOL)
         .groupBy(*keys)
         .agg(F.coalesce(F.sum("HOURS_IN_STATE"), F.lit(0)).alias("hours"))
     )
@@ -49,7 +49,7 @@ def tool_day_hours(classified: DataFrame) -> DataFrame:
     """Hours in each category per tool, site and day, in one conditional aggregate."""
     keys = [*_TOOL, "state_date"]
     return (
-        drop_null_keys(classified, keys)
+        drop_null_keys(classified, _TOOL)
         .groupBy(*keys)
         .agg(
             _hours("Running").alias("running_hours"),
