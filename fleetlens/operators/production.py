@@ -23,6 +23,7 @@ from fleetlens.operators.relational import (
     dedup_keep_last,
     drop_null_keys,
     previous_row,
+    union_dynamic,
 )
 from fleetlens.operators.states import weekly_total
 
@@ -151,24 +152,30 @@ def wafer_production(counters: DataFrame, state_hours: DataFrame, **rules) -> Da
 
 
 def incremental_production(
-    counters: DataFrame, state_hours: DataFrame, since: dt.date, order_by: Sequence[str] = ("FAB_ENTITY",), **rules
+    recent: DataFrame,
+    history: DataFrame,
+    state_hours: DataFrame,
+    since: dt.date,
+    order_by: Sequence[str] = ("FAB_ENTITY",),
+    **rules,
 ) -> DataFrame:
-    """Production details from day ``since`` on, for counters that also hold the time before.
+    """Production details of ``recent`` counters from day ``since`` on.
 
-    Of the time before only each tool's last row is used, so that the first new day has a previous
-    value.  Tools get one such row each from a map-side aggregate.
+    Of the ``history`` before that day only each tool's last row is used, so that its first recent
+    day has a previous value.  A map-side aggregate leaves one such row per tool and task.
     """
-    columns = counters.columns
     start = F.lit(since)
+    counters = [name for name in history.columns if name.endswith(params.COUNTER_SUFFIX)]
+    columns = ["ENTITY", "counter_date", *order_by, *counters]
     row = F.struct(*[F.col(f"`{name}`") for name in columns])
     last_known = (
-        counters.where((F.col("counter_date") < start) & F.col("ENTITY").isNotNull())
+        history.where((F.col("counter_date") < start) & F.col("ENTITY").isNotNull())
         .groupBy("ENTITY")
         .agg(F.max_by(row, F.struct("counter_date", *order_by)).alias("row"))
         .select("row.*")
     )
-    recent = counters.where(F.col("counter_date") >= start).unionByName(last_known)
-    details = production_details(recent, state_hours, order_by=order_by, **rules)
+    rows = union_dynamic([recent.where(F.col("counter_date") >= start), last_known])
+    details = production_details(rows, state_hours, order_by=order_by, **rules)
     return details.where(F.col("counter_date") >= start)
 
 

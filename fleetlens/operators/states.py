@@ -67,8 +67,12 @@ def tool_day_hours(classified: DataFrame) -> DataFrame:
 
 def state_hours(states: DataFrame, asof: dt.date, **rules) -> DataFrame:
     """Hours per tool and day.  Where a tool reports from two sites, the greatest site is kept."""
-    by_site = tool_day_hours(classified_states(states, asof, **rules))
-    return dedup_keep_last(by_site, ["ENTITY", "state_date"], ["FAB", "FAB_ENTITY"])
+    return hours_of_classified(classified_states(states, asof, **rules))
+
+
+def hours_of_classified(classified: DataFrame) -> DataFrame:
+    """``state_hours`` of rows that already have their date and category."""
+    return dedup_keep_last(tool_day_hours(classified), ["ENTITY", "state_date"], ["FAB", "FAB_ENTITY"])
 
 
 def _percentages(total: str, **hours: str) -> dict[str, Column]:

@@ -300,7 +300,8 @@ def wafer_production(fx):
 
 @_query
 def incremental_production(fx):
-    rows = production.incremental_production(raw_counters(fx), daily_hours(fx), SPLIT_DATE)
+    counters = raw_counters(fx)
+    rows = production.incremental_production(counters, counters, daily_hours(fx), SPLIT_DATE)
     return rows.select(*production.PRODUCTION_COLUMNS)
 
 

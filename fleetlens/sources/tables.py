@@ -17,16 +17,30 @@ from fleetlens.operators.relational import dedup_keep_last
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None if nothing has been stored there yet."""
+def read_table(
+    spark: SparkSession, path: str, base_path: str | None = None, merge_schema: bool = False
+) -> DataFrame | None:
+    """The stored table, or None if nothing has been stored there yet.
+
+    ``merge_schema`` gives all columns of a table whose columns grew over time.
+    """
+    reader = spark.read.option("mergeSchema", merge_schema)
+    if base_path:
+        reader = reader.option("basePath", base_path)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def _read_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> DataFrame | None:
+    """The stored rows of some partitions, without listing the others."""
+    names = ",".join("__HIVE_DEFAULT_PARTITION__" if value is None else str(value) for value in values)
+    return read_table(spark, f"{path}/{column}={{{names}}}", base_path=path, merge_schema=True)
+
+
 def read_curated(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Whole input tables by name, without blanks around their column names."""
     frames = {name: spark.read.parquet(path) for name, path in paths.items()}
@@ -76,27 +90,24 @@ def upsert(
 ) -> int:
     """Store rows so that the table has one row per key and new rows replace stored ones.
 
-    The partition column is one of the keys, so only partitions that receive rows are read and
-    rewritten.  Returns the number of rows written.  Running it again changes nothing.
+    The partition column, a date or a week label, is one of the keys, so only partitions that receive
+    rows are read and rewritten.  New columns are added, and are null in older rows.  Returns the
+    number of rows written.  Running it again changes nothing.
     """
     if partition_by not in keys:
         raise ValueError(f"partition column {partition_by!r} must be one of the keys {list(keys)}")
-    spark = df.sparkSession
     order = list(order_by) or [F.lit(0)]
-    new = dedup_keep_last(df, keys, order)
-    stored = read_table(spark, path)
-    if stored is None:
-        return _write(new, path, "append", "static", partition_by, sort_by)
-    new = cut_lineage(new)
+    new = cut_lineage(df)
     # The list of partitions a write touches is held by the driver in any case: it commits them.
     touched = [row[0] for row in new.select(partition_by).distinct().collect()]
     if not touched:
         return 0
-    known = [value for value in touched if value is not None]
-    same = F.col(partition_by).isin(*known) if known else F.lit(False)
-    if len(known) < len(touched):
-        same = same | F.col(partition_by).isNull()
-    merged = merge_rows(stored.where(same), new, keys, order_by)
+    stored = _read_partitions(df.sparkSession, path, partition_by, touched)
+    if stored is None:
+        merged = dedup_keep_last(new, keys, order)
+    else:
+        same_type = F.col(partition_by).cast(new.schema[partition_by].dataType)
+        merged = merge_rows(stored.withColumn(partition_by, same_type), new, keys, order)
     return _write(merged, path, "overwrite", "dynamic", partition_by, sort_by)
 
 

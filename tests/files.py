@@ -21,4 +21,4 @@ def write_csv(root: Path, week: str, name: str, lines: list[str], modified: dt.d
 
 def rows(df, *columns):
     """Selected columns as a sorted list of tuples."""
-    return sorted((tuple(row) for row in df.select(*columns).collect()), key=str)
+    return sorted((tuple(row) for row in df.select(*columns).collect()), key=lambda row: [str(cell) for cell in row])
