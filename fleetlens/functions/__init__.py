@@ -7,6 +7,7 @@ from fleetlens.functions.counters import (
     is_replacement,
     number_text,
     pick_counter,
+    reading_at,
 )
 from fleetlens.functions.dates import (
     age_bucket,
@@ -32,5 +33,5 @@ __all__ = [
     "counter_change", "counter_date", "derive_fab", "disposition", "estimated_parts",
     "fab_entity_key", "fiscal_work_week", "installed_flag", "is_active", "is_replacement",
     "iso_yearww", "normalize_entity", "number_text", "parse_day_shift", "pick_counter",
-    "safe_rate", "to_int", "tool_age_days", "tool_id",
+    "reading_at", "safe_rate", "to_int", "tool_age_days", "tool_id",
 ]

@@ -36,40 +36,42 @@ class Candidates:
         first = matching(primary)
         return cls(tuple(first + matching(fallback)), len(first))
 
-    def values(self, df: DataFrame) -> Column:
-        """All candidate values of a row as one array, NaN as null."""
+    def readings(self, df: DataFrame) -> Column:
+        """The known candidate values of a row as an array of (position, value), in order of preference.
+
+        A tool has few of the many counters of a fleet, so the array is short however wide the table.
+        """
+        if not self.entries:
+            return F.array().cast(f"array<struct<position:int,value:{params.COUNTER}>>")
         types = dict(df.dtypes)
 
         def value(name: str) -> Column:
             column = F.col(f"`{name}`")
             return F.nullif(column, F.lit(float("nan"))) if types[name] in ("float", "double") else column
 
-        if not self.entries:
-            return F.array().cast(f"array<{params.COUNTER}>")
-        return F.array(*[value(name) for _, name in self.entries])
+        numbered = F.transform(
+            F.array(*[value(name) for _, name in self.entries]),
+            lambda v, position: F.struct(position.alias("position"), v.alias("value")),
+        )
+        return F.filter(numbered, lambda reading: reading["value"].isNotNull())
 
+    def name(self, position: Column) -> Column:
+        return F.get(F.array(*[F.lit(name) for _, name in self.entries]).cast("array<string>"), position)
 
-def pick_counter(values: Column, candidates: Candidates, fallback_only: bool = False) -> Column:
-    """Struct (position, name, keyword, value) of the first candidate above zero; null if none is."""
+    def keyword(self, position: Column) -> Column:
+        return F.get(F.array(*[F.lit(keyword) for keyword, _ in self.entries]).cast("array<string>"), position)
+
+
+def pick_counter(readings: Column, candidates: Candidates, fallback_only: bool = False) -> Column:
+    """The first reading (position, value) above zero, of all candidates or the fallbacks; null if none."""
     start = candidates.fallback_from if fallback_only else 0
-    positions = range(start, len(candidates.entries))
-    if not positions:
-        return F.lit(None).cast(f"struct<position:int,name:string,keyword:string,value:{params.COUNTER}>")
-
-    def hit(position: int) -> Column:
-        keyword, name = candidates.entries[position]
-        value = F.get(values, F.lit(position))
-        return F.when(
-            value > 0,
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(name).alias("name"),
-                F.lit(keyword).alias("keyword"),
-                value.alias("value"),
-            ),
-        )
+    usable = F.filter(readings, lambda reading: (reading["value"] > 0) & (reading["position"] >= start))
+    return F.get(usable, F.lit(0))
+
 
-    return F.coalesce(*[hit(position) for position in positions])
+def reading_at(readings: Column, position: Column) -> Column:
+    """The value of the counter at ``position``, null if it has none."""
+    return F.get(F.filter(readings, lambda reading: reading["position"] == position), F.lit(0))["value"]
 
 
 def counter_change(current: Column, previous: Column) -> Column:

@@ -16,6 +16,7 @@ from fleetlens.functions import (
     iso_yearww,
     number_text,
     pick_counter,
+    reading_at,
     safe_rate,
 )
 from fleetlens.operators.relational import (
@@ -50,7 +51,7 @@ def production_details(
     """
     candidates = Candidates.of(counters, primary, fallback)
     readings = counters.where(F.col("ENTITY").isNotNull()).select(
-        "ENTITY", "counter_date", *order_by, candidates.values(counters).alias("readings")
+        "ENTITY", "counter_date", *order_by, candidates.readings(counters).alias("readings")
     )
     last = day_rows(readings, "ENTITY", "counter_date", "readings", [*order_by, "readings"])
     running = state_hours.select("ENTITY", F.col("state_date").alias("counter_date"), "running_hours")
@@ -71,15 +72,19 @@ def _decide(days: DataFrame, candidates: Candidates, threshold: float) -> DataFr
         )
         .withColumns(
             {
-                "first_previous": F.get(before, F.col("first.position")),
-                "spare_previous": F.get(before, F.col("spare.position")),
+                "first_name": candidates.name(F.col("first.position")),
+                "first_keyword": candidates.keyword(F.col("first.position")),
+                "first_is_primary": F.col("first.position") < candidates.fallback_from,
+                "first_previous": reading_at(before, F.col("first.position")),
+                "spare_name": candidates.name(F.col("spare.position")),
+                "spare_keyword": candidates.keyword(F.col("spare.position")),
+                "spare_previous": reading_at(before, F.col("spare.position")),
             }
         )
         .withColumns(
             {
                 "first_change": counter_change(F.col("first.value"), F.col("first_previous")),
                 "spare_change": counter_change(F.col("spare.value"), F.col("spare_previous")),
-                "first_is_primary": F.col("first.position") < candidates.fallback_from,
             }
         )
     )
@@ -107,12 +112,12 @@ def _decide(days: DataFrame, candidates: Candidates, threshold: float) -> DataFr
         F.when(
             F.col("replaced"),
             F.concat(
-                F.lit("Part replacement: "), F.col("first.name"),
+                F.lit("Part replacement: "), F.col("first_name"),
                 F.lit(" reset from "), number_text(F.col("first_previous")),
                 F.lit(" to "), number_text(F.col("first.value")),
             ),
         ),
-        F.when(F.col("adopted"), F.concat(F.lit("Used fallback counter: "), F.col("spare.name"))),
+        F.when(F.col("adopted"), F.concat(F.lit("Used fallback counter: "), F.col("spare_name"))),
         F.when(F.col("replaced") & ~F.col("adopted"), "Counter change set to 0 (part replacement)"),
         F.when(
             F.col("wafers_produced").isNotNull() & (F.col("running_hours") <= 0),
@@ -122,8 +127,8 @@ def _decide(days: DataFrame, candidates: Candidates, threshold: float) -> DataFr
     return steps.select(
         "ENTITY",
         "counter_date",
-        used("spare.name", "first.name").alias("counter_column_used"),
-        used("spare.keyword", "first.keyword").alias("counter_keyword_used"),
+        used("spare_name", "first_name").alias("counter_column_used"),
+        used("spare_keyword", "first_keyword").alias("counter_keyword_used"),
         used("spare.value", "first.value").alias("counter_current_value"),
         used("spare_previous", "first_previous").alias("counter_previous_value"),
         "counter_change",
@@ -132,13 +137,13 @@ def _decide(days: DataFrame, candidates: Candidates, threshold: float) -> DataFr
         "running_hours",
         safe_rate(F.col("wafers_produced"), F.col("running_hours")).alias("wafers_per_hour"),
         notes.alias("calculation_notes"),
-        F.col("first.name").alias("picked_counter"),
-        F.col("first.keyword").alias("picked_keyword"),
+        F.col("first_name").alias("picked_counter"),
+        F.col("first_keyword").alias("picked_keyword"),
         F.col("first.value").alias("picked_value"),
         F.col("first_previous").alias("picked_previous_value"),
         F.col("first_change").alias("picked_change"),
         "fallback_tried",
-        F.col("spare.keyword").alias("fallback_keyword"),
+        F.col("spare_keyword").alias("fallback_keyword"),
     )
 
 

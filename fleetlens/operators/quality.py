@@ -98,21 +98,27 @@ def acceptance_checks(
     if bound_by == "tool_id":
         key = F.struct(F.coalesce("ENTITY", F.lit("None")), F.coalesce("Location", F.lit("None")))
     per_key = tools.groupBy(key.alias("tool")).agg(F.count_if(F.contains("ENTITY", F.lit("_"))).alias("n"))
-    totals = per_key.agg(F.count("tool").alias("bound"), F.coalesce(F.sum("n"), F.lit(0)).alias("value"))
     parts = gbom.groupBy("Part_Number").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     several = leadership.join(parts, "Part_Number", "left_semi")
 
-    chambers = totals.select(F.lit("A").alias("check_name"), "value", F.lit(0).cast("bigint").alias("bound"))
+    def measure(name: str, df: DataFrame, value: Column) -> DataFrame:
+        return df.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).withColumn("name", F.lit(name))
 
-    def largest(name: str, df: DataFrame, column: str) -> DataFrame:
-        top = df.agg(F.coalesce(F.max(column), F.lit(0)).alias("value"))
-        # One row on either side.
-        return top.join(totals.select("bound"), F.lit(True)).select(F.lit(name).alias("check_name"), "value", "bound")
-
-    checks = chambers.unionByName(largest("B", mart, "Active_Tool_Count_Config")).unionByName(
-        largest("C", several, "Number_of_active_tools")
+    measures = (
+        measure("tools", per_key, F.count("tool"))
+        .unionByName(measure("A", per_key, F.sum("n")))
+        .unionByName(measure("B", mart, F.max("Active_Tool_Count_Config")))
+        .unionByName(measure("C", several, F.max("Number_of_active_tools")))
     )
-    return checks.withColumn("passed", F.col("value") <= F.col("bound"))
+    # Four rows, brought into one so that each check sees the number of tools.
+    names = ("tools", "A", "B", "C")
+    one = measures.agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in names])
+
+    def check(name: str, bound: Column) -> Column:
+        return F.struct(F.lit(name).alias("check_name"), F.col(name).alias("value"), bound.alias("bound"))
+
+    checks = F.array(check("A", F.lit(0).cast("bigint")), check("B", F.col("tools")), check("C", F.col("tools")))
+    return one.select(F.inline(checks)).withColumn("passed", F.col("value") <= F.col("bound"))
 
 
 def tool_profile(

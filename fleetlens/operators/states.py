@@ -22,12 +22,19 @@ def classified_states(
     idle: Sequence[str] = params.IDLE_STATES,
     bagged: str = params.BAGGED_STATE,
 ) -> DataFrame:
-    """Add ``state_date`` and ``state_category``; rows whose date cannot be read are dropped."""
-    return states.select(
-        "*",
-        parse_day_shift(F.col("DAY_SHIFT"), asof).alias("state_date"),
-        classify_state(F.col("ENTITY_STATE"), running, idle, bagged).alias("state_category"),
-    ).where(F.col("state_date").isNotNull())
+    """Add ``state_date`` and ``state_category``; rows whose date cannot be read are dropped.
+
+    Dropping them by an explode of one date or none keeps the parsing in one place.  A filter would be
+    moved below earlier steps, and parse every text there once more.
+    """
+    dated = states.withColumns(
+        {
+            "_date": parse_day_shift(F.col("DAY_SHIFT"), asof),
+            "state_category": classify_state(F.col("ENTITY_STATE"), running, idle, bagged),
+        }
+    )
+    known = F.when(F.col("_date").isNotNull(), F.array("_date"))
+    return dated.select("*", F.explode(known).alias("state_date")).drop("_date")
 
 
 def hours_by_category(classified: DataFrame) -> DataFrame:

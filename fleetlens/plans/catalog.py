@@ -71,7 +71,7 @@ def daily_fact(fx: Fixtures) -> DataFrame:
 def with_readings(fx: Fixtures) -> tuple[DataFrame, fn.Candidates]:
     counters = raw_counters(fx)
     candidates = fn.Candidates.of(counters)
-    return counters.select("ENTITY", "counter_date", "FAB_ENTITY", candidates.values(counters).alias("readings")), candidates
+    return counters.select("ENTITY", "counter_date", "FAB_ENTITY", candidates.readings(counters).alias("readings")), candidates
 
 
 # --- tool states -------------------------------------------------------------------------------------
@@ -267,9 +267,11 @@ def null_violations(fx):
 @_query
 def pick_counter(fx):
     readings, candidates = with_readings(fx)
-    picked = fn.pick_counter(F.col("readings"), candidates)
-    return readings.withColumn("picked", picked).select(
-        "ENTITY", "counter_date", "picked.name", "picked.keyword", "picked.value"
+    picked = readings.withColumn("picked", fn.pick_counter(F.col("readings"), candidates))
+    position = F.col("picked.position")
+    return picked.select(
+        "ENTITY", "counter_date", candidates.name(position).alias("name"), candidates.keyword(position).alias("keyword"),
+        "picked.value",
     )
 
 
@@ -278,7 +280,7 @@ def previous_row(fx):
     readings, candidates = with_readings(fx)
     last = rel.day_rows(readings, "ENTITY", "counter_date", "readings", ["FAB_ENTITY"])
     before = rel.previous_row(last, "ENTITY", "counter_date", "readings", "before")
-    columns = {name: F.get("before", F.lit(i)) for i, (_, name) in enumerate(candidates.entries)}
+    columns = {name: fn.reading_at(F.col("before"), F.lit(i)) for i, (_, name) in enumerate(candidates.entries)}
     return before.select(
         "ENTITY", "counter_date", *[column.alias(f"previous_{name}") for name, column in columns.items()],
         F.col("before").isNull().alias("is_first"),

@@ -130,7 +130,9 @@ def test_pick_counter_order_and_matching(spark):
     )
     candidates = fn.Candidates.of(df)
     assert [name for _, name in candidates.entries] == ["XFocusCounter", "FocusRingCounter", "APCCounter"]
-    picked = df.select(fn.pick_counter(candidates.values(df), candidates).alias("p")).select("p.*").collect()
-    assert [(row.name, row.keyword, row.value) for row in picked] == [
+    picked = df.select(fn.pick_counter(candidates.readings(df), candidates).alias("p")).select(
+        candidates.name(F.col("p.position")).alias("name"), candidates.keyword(F.col("p.position")).alias("keyword"), "p.value"
+    )
+    assert [(row.name, row.keyword, row.value) for row in picked.collect()] == [
         ("XFocusCounter", "Focus", 5.0), ("APCCounter", "APCCounter", 7.0), ("APCCounter", "APCCounter", 7.0), (None, None, None),
     ]
