@@ -16,6 +16,8 @@ from fleetlens.functions.dates import (
     iso_yearww,
     parse_day_shift,
     tool_age_days,
+    utc_literal,
+    utc_time,
 )
 from fleetlens.functions.rules import (
     classify_state,
@@ -33,5 +35,5 @@ __all__ = [
     "counter_change", "counter_date", "derive_fab", "disposition", "estimated_parts",
     "fab_entity_key", "fiscal_work_week", "installed_flag", "is_active", "is_replacement",
     "iso_yearww", "normalize_entity", "number_text", "parse_day_shift", "pick_counter",
-    "reading_at", "safe_rate", "to_int", "tool_age_days", "tool_id",
+    "reading_at", "safe_rate", "to_int", "tool_age_days", "tool_id", "utc_literal", "utc_time",
 ]

@@ -8,7 +8,6 @@ from pyspark.sql import Column, functions as F
 
 from fleetlens import params
 
-_SECONDS_PER_DAY = 86400
 # month/day with an optional two- or four-digit year; a one-digit day may be padded with a blank.
 _MONTH_DAY_YEAR = r"^(1[0-2]|0?[1-9])/(3[01]|[12][0-9]|0?[1-9]| [1-9])(/([0-9]{2}|(?!0000)[0-9]{4}))?$"
 
@@ -67,11 +66,23 @@ def parse_day_shift(day_shift: Column, asof: dt.date) -> Column:
     )
 
 
+def utc_literal(ts: dt.datetime) -> Column:
+    """A point in time as a constant UTC wall-clock value, whatever the session's time zone."""
+    naive = ts.astimezone(dt.timezone.utc).replace(tzinfo=None) if ts.tzinfo else ts
+    return F.lit(naive.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def utc_time(instant: Column) -> Column:
+    """UTC wall-clock value of an instant, whatever the session's time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
 def tool_age_days(warranty_start: Column, asof: dt.date) -> Column:
     """Whole days (rounded down) from ``warranty_start`` to ``asof``; null for a bad or missing date."""
-    start = F.unix_seconds(warranty_start.try_cast("timestamp"))
-    end = F.unix_seconds(F.lit(asof).cast("timestamp"))
-    return F.floor((end - start) / _SECONDS_PER_DAY)
+    start = warranty_start.try_cast("timestamp_ntz")
+    day = start.cast("date")
+    started_later = start > day.cast("timestamp_ntz")
+    return (F.datediff(F.lit(asof), day) - started_later.cast("int")).cast("bigint")
 
 
 def age_bucket(age_days: Column) -> Column:

@@ -126,7 +126,7 @@ def tool_profile(
 ) -> DataFrame:
     """One row: sizes, unreadable warranty dates, range of dates and ages, active and inactive tools."""
     aged = tools_with_age(tools, asof, inactive).withColumn(
-        "start", F.col("Warranty_Start").try_cast("timestamp").cast("date")
+        "start", F.col("Warranty_Start").try_cast("timestamp_ntz").cast("date")
     )
     return aged.agg(
         F.count("*").alias("n_rows"),

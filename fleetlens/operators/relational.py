@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fleetlens import params
-from fleetlens.functions import fiscal_work_week
+from fleetlens.functions import fiscal_work_week, utc_literal
 
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -133,7 +133,7 @@ def distinct_count(df: DataFrame, column: str, alias: str) -> DataFrame:
 
 def stamp(df: DataFrame, column: str, ts: dt.datetime) -> DataFrame:
     """Add the time of the calculation as a constant column."""
-    return df.withColumn(column, F.lit(ts))
+    return df.withColumn(column, utc_literal(ts))
 
 
 def fill_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -87,6 +87,11 @@ def hours_by_category(fx):
     return states.hours_by_category(states.classified_states(raw_states(fx), STATES_ASOF))
 
 
+@_query
+def tool_day_hours(fx):
+    return states.tool_day_hours(states.classified_states(raw_states(fx), STATES_ASOF))
+
+
 @_query
 def classify_state(fx):
     return fx.states.select("_ord", "ENTITY_STATE", fn.classify_state(F.col("ENTITY_STATE")).alias("state_category"))
@@ -327,6 +332,11 @@ def weekly_production(fx):
     return production.weekly_production(daily_fact(fx))
 
 
+@_query
+def weekly_production_iso(fx):
+    return production.weekly_production(daily_fact(fx), "iso")
+
+
 @_query
 def production_audit(fx):
     return quality.production_audit(details(fx))
@@ -435,12 +445,20 @@ def offending_tools(fx):
     return rows.withColumn("Process_Node", F.col("Process_Node").cast("double"))
 
 
+def _checks(fx, bound_by):
+    mart = base.config_mart(fx.tools, TOOLS_ASOF)
+    board = base.leadership(fx.gbom, fx.tools, fx.inventory, TOOLS_ASOF)
+    return quality.acceptance_checks(fx.tools, mart, board, fx.gbom, bound_by)
+
+
 @_query
 def acceptance_checks(fx):
-    mart = base.config_mart(fx.tools, TOOLS_ASOF)
-    return quality.acceptance_checks(
-        fx.tools, mart, base.leadership(fx.gbom, fx.tools, fx.inventory, TOOLS_ASOF), fx.gbom
-    )
+    return _checks(fx, "tool_id")
+
+
+@_query
+def acceptance_checks_entity(fx):
+    return _checks(fx, "entity")
 
 
 @_query

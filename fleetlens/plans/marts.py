@@ -16,7 +16,7 @@ INPUTS = ("cur_inventory", "cur_auto_tool_list_mom", "cur_gbom_applicability")
 
 def run_installed_base(
     spark: SparkSession,
-    inputs: Mapping[str, str],
+    inputs: Mapping[str, str | DataFrame],
     store: str,
     asof: dt.date,
     supplier_order: Sequence[str] | None = None,

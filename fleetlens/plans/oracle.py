@@ -167,6 +167,10 @@ SELECT ENTITY, FAB, FAB_ENTITY, CAST(state_date AS VARCHAR) AS state_date, CAST(
     "hours_by_category": """
 SELECT ENTITY, FAB, FAB_ENTITY, CAST(state_date AS VARCHAR) AS state_date, category AS state_category,
   CAST(coalesce(sum(HOURS_IN_STATE), 0) AS DOUBLE) AS hours FROM {dated} WHERE state_date IS NOT NULL GROUP BY ALL""",
+    "tool_day_hours": """
+SELECT ENTITY, FAB, FAB_ENTITY, CAST(state_date AS VARCHAR) AS state_date, CAST(running_hours AS DOUBLE) AS running_hours,
+  CAST(idle_hours AS DOUBLE) AS idle_hours, CAST(down_hours AS DOUBLE) AS down_hours, CAST(bagged_hours AS DOUBLE) AS bagged_hours,
+  CAST(total_hours AS DOUBLE) AS total_hours, CAST(bagged_hours > 0 AS VARCHAR) AS is_bagged FROM {by_site}""",
     "classify_state": """
 SELECT _ord, ENTITY_STATE, CASE trim(ENTITY_STATE) WHEN 'Bagged' THEN 'Bagged' WHEN 'Running1' THEN 'Running'
   WHEN 'Running2' THEN 'Running' WHEN 'UpToProduction' THEN 'Idle' ELSE 'Down' END AS state_category FROM {fx_states}""",
@@ -290,6 +294,16 @@ FROM (SELECT ENTITY, FAB, FAB_ENTITY, year(production_date) || 'WW' || lpad(CAST
     coalesce(sum(wafers), 0) AS w, sum(running_hours) AS r, sum(idle_hours) AS i, sum(down_hours) AS d, sum(bagged_hours) AS b, sum(total_hours) AS t,
     count(*) FILTER (replaced) AS replacements, min(production_date) AS lo, max(production_date) AS hi, count(*) AS n
   FROM {daily} WHERE FAB IS NOT NULL GROUP BY 1, 2, 3, 4)
+QUALIFY row_number() OVER (PARTITION BY ENTITY, YEARWW ORDER BY FAB DESC, FAB_ENTITY DESC) = 1""",
+    "weekly_production_iso": """
+SELECT ENTITY, FAB, FAB_ENTITY, YEARWW, CAST(w AS DOUBLE) AS total_wafers_produced, CAST(r AS DOUBLE) AS total_running_hours,
+  CAST(i AS DOUBLE) AS total_idle_hours, CAST(d AS DOUBLE) AS total_down_hours, CAST(b AS DOUBLE) AS total_bagged_hours, CAST(t AS DOUBLE) AS total_hours,
+  replacements AS part_replacements_count, CAST(lo AS VARCHAR) AS week_start_date, CAST(hi AS VARCHAR) AS week_end_date, n AS days_with_data,
+  CASE WHEN r > 0 THEN CAST(w AS DOUBLE) / CAST(r AS DOUBLE) END AS avg_wafers_per_hour
+FROM (SELECT ENTITY, FAB, FAB_ENTITY, isoyear(production_date) || 'WW' || lpad(CAST(week(production_date) AS VARCHAR), 2, '0') AS YEARWW,
+    coalesce(sum(wafers), 0) AS w, sum(running_hours) AS r, sum(idle_hours) AS i, sum(down_hours) AS d, sum(bagged_hours) AS b, sum(total_hours) AS t,
+    count(*) FILTER (replaced) AS replacements, min(production_date) AS lo, max(production_date) AS hi, count(*) AS n
+  FROM {daily} WHERE FAB IS NOT NULL GROUP BY 1, 2, 3, 4)
 QUALIFY row_number() OVER (PARTITION BY ENTITY, YEARWW ORDER BY FAB DESC, FAB_ENTITY DESC) = 1""",
     "production_audit": """
 SELECT ENTITY, CAST(counter_date AS VARCHAR) AS counter_date, event, CASE event WHEN 'wafers_calculated' THEN counter ELSE c1 END AS counter,
@@ -353,6 +367,12 @@ SELECT check_name, value, bound, CAST(value <= bound AS VARCHAR) AS passed FROM
   UNION ALL SELECT 'B', (SELECT max(Active_Tool_Count_Config) FROM {mart}), (SELECT count(DISTINCT Tool_ID) FROM {tools})
   UNION ALL SELECT 'C', (SELECT max(n) FROM {board} WHERE Part_Number IN (SELECT Part_Number FROM {gbom} GROUP BY 1 HAVING count(*) > 1)),
     (SELECT count(DISTINCT Tool_ID) FROM {tools}))""",
+    "acceptance_checks_entity": """
+SELECT check_name, value, bound, CAST(value <= bound AS VARCHAR) AS passed FROM (
+  SELECT 'A' AS check_name, count(*) FILTER (contains(ENTITY, '_')) AS value, CAST(0 AS BIGINT) AS bound FROM {tools}
+  UNION ALL SELECT 'B', (SELECT max(Active_Tool_Count_Config) FROM {mart}), (SELECT count(DISTINCT ENTITY) FROM {tools})
+  UNION ALL SELECT 'C', (SELECT max(n) FROM {board} WHERE Part_Number IN (SELECT Part_Number FROM {gbom} GROUP BY 1 HAVING count(*) > 1)),
+    (SELECT count(DISTINCT ENTITY) FROM {tools}))""",
     "tool_profile": """
 SELECT count(*) AS n_rows, count(*) FILTER (age_days IS NULL) AS n_null_warranty, CAST(min(TRY_CAST(Warranty_Start AS DATE)) AS VARCHAR) AS min_warranty,
   CAST(max(TRY_CAST(Warranty_Start AS DATE)) AS VARCHAR) AS max_warranty, min(age_days) / CAST(365.25 AS DOUBLE) AS min_age_years,

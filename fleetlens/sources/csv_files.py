@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from fleetlens import params
-from fleetlens.functions import counter_date
+from fleetlens.functions import counter_date, utc_literal, utc_time
 from fleetlens.operators.keys import latest_file_per_week, with_tool_keys
 from fleetlens.operators.relational import dedup_keep_last, recent_work_weeks, union_dynamic
 
@@ -154,7 +154,7 @@ def _read_group(reader, header: Sequence[str], members: Sequence[Row]) -> DataFr
             *[_present(name).alias(name) for name in header],
             F.col("_metadata.file_name").alias("source_file"),
             week.alias("load_ww"),
-            F.col("_metadata.file_modification_time").alias("file_modified_ts"),
+            utc_time(F.col("_metadata.file_modification_time")).alias("file_modified_ts"),
             F.element_at(rank, week).alias("_rank"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_block"),
@@ -172,7 +172,7 @@ def _no_rows(spark: SparkSession, required: Sequence[str]) -> DataFrame:
     names = [*required, "source_file", "load_ww", "_path"]
     fields = [T.StructField(name, T.StringType()) for name in names]
     fields += [T.StructField(name, T.LongType()) for name in ("_rank", "_block", "_row")]
-    fields.append(T.StructField("file_modified_ts", T.TimestampType()))
+    fields.append(T.StructField("file_modified_ts", T.TimestampNTZType()))
     return spark.createDataFrame([], T.StructType(fields))
 
 
@@ -192,7 +192,7 @@ def read_states(
     absent = [name for name in params.STATE_COLUMNS if name not in loaded.rows.columns]
     rows = loaded.rows.select("*", *[F.lit(None).cast("string").alias(name) for name in absent])
     rows = _typed(rows, {"HOURS_IN_STATE": params.HOURS, "Total_Hours": params.HOURS, "% in State": params.PERCENT})
-    stamped = rows.withColumn("load_ts", F.lit(load_ts)).withColumn("load_date", F.lit(load_ts.date()))
+    stamped = rows.withColumn("load_ts", utc_literal(load_ts)).withColumn("load_date", F.lit(load_ts.date()))
     return Loaded(stamped.drop("file_modified_ts"), loaded.report)
 
 
@@ -215,7 +215,7 @@ def read_counters(
     counters = [name for name in loaded.rows.columns if name.endswith(params.COUNTER_SUFFIX)]
     rows = _typed(loaded.rows, {name: params.COUNTER for name in counters}) if counters else loaded.rows
     dated = rows.withColumn("counter_date", counter_date(F.col("file_modified_ts"), date_shift))
-    return Loaded(dated.withColumn("load_ts", F.lit(load_ts)), loaded.report)
+    return Loaded(dated.withColumn("load_ts", utc_literal(load_ts)), loaded.report)
 
 
 def keep_last_loaded(rows: DataFrame, keys: Sequence[str], prefer: str = "oldest") -> DataFrame:

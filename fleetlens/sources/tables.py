@@ -41,9 +41,12 @@ def _read_partitions(spark: SparkSession, path: str, column: str, values: Sequen
     return read_table(spark, f"{path}/{column}={{{names}}}", base_path=path, merge_schema=True)
 
 
-def read_curated(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Whole input tables by name, without blanks around their column names."""
-    frames = {name: spark.read.parquet(path) for name, path in paths.items()}
+def read_curated(spark: SparkSession, sources: Mapping[str, str | DataFrame]) -> dict[str, DataFrame]:
+    """Whole input tables by name, without blanks around their column names.
+
+    A source is the path of a Parquet table, or any DataFrame, as from a catalog or over JDBC.
+    """
+    frames = {name: spark.read.parquet(src) if isinstance(src, str) else src for name, src in sources.items()}
     return {name: df.toDF(*[column.strip() for column in df.columns]) for name, df in frames.items()}
 
 

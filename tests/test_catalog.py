@@ -23,3 +23,10 @@ def test_query_equals_sql(spark, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plans_stay_in_the_jvm_and_join_by_key(spark, name):
+    plan = QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert operator not in plan

@@ -136,3 +136,18 @@ def test_pick_counter_order_and_matching(spark):
     assert [(row.name, row.keyword, row.value) for row in picked.collect()] == [
         ("XFocusCounter", "Focus", 5.0), ("APCCounter", "APCCounter", 7.0), ("APCCounter", "APCCounter", 7.0), (None, None, None),
     ]
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            ages = column(spark, ["2024-01-15", "2024-01-15 08:00:00"], "string", lambda c: fn.tool_age_days(c, ASOF))
+            assert ages == [167, 166]
+            instants = spark.sql("select timestamp'2025-12-18 03:15:23 UTC' as t")
+            assert instants.select(fn.counter_date(fn.utc_time(F.col("t")))).first()[0] == dt.date(2025, 12, 17)
+            late = dt.datetime(2025, 12, 18, 1, 0, tzinfo=dt.timezone(dt.timedelta(hours=9)))
+            assert instants.select(fn.utc_literal(late)).first()[0] == dt.datetime(2025, 12, 17, 16, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
