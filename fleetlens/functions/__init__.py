@@ -27,6 +27,7 @@ from fleetlens.functions.rules import (
     installed_flag,
     is_active,
     safe_rate,
+    state_name,
 )
 from fleetlens.functions.text import derive_fab, fab_entity_key, normalize_entity, to_int, tool_id
 
@@ -35,5 +36,5 @@ __all__ = [
     "counter_change", "counter_date", "derive_fab", "disposition", "estimated_parts",
     "fab_entity_key", "fiscal_work_week", "installed_flag", "is_active", "is_replacement",
     "iso_yearww", "normalize_entity", "number_text", "parse_day_shift", "pick_counter",
-    "reading_at", "safe_rate", "to_int", "tool_age_days", "tool_id", "utc_literal", "utc_time",
+    "reading_at", "safe_rate", "state_name", "to_int", "tool_age_days", "tool_id", "utc_literal", "utc_time",
 ]

@@ -9,6 +9,11 @@ from pyspark.sql import Column, functions as F
 from fleetlens import params
 
 
+def state_name(state: Column) -> Column:
+    """The state without white space around it."""
+    return F.btrim(state, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def classify_state(
     state: Column,
     running: Sequence[str] = params.RUNNING_STATES,
@@ -16,7 +21,7 @@ def classify_state(
     bagged: str = params.BAGGED_STATE,
 ) -> Column:
     """``Bagged``, ``Running``, ``Idle`` or, for everything else and for null, ``Down``."""
-    name = F.btrim(state, F.lit(" \t\n\r\x0b\x0c"))
+    name = state_name(state)
     return (
         F.when(name == bagged, "Bagged")
         .when(name.isin(*running), "Running")

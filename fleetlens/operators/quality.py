@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens import params
-from fleetlens.functions import normalize_entity
+from fleetlens.functions import normalize_entity, state_name
 from fleetlens.operators.installed_base import tools_with_age
 from fleetlens.operators.states import classified_states, tool_day_hours
 
@@ -193,7 +193,7 @@ def state_audit(states: DataFrame, asof: dt.date, **rules) -> DataFrame:
         (F.col("state_category") == "Down") & F.col("ENTITY_STATE").isNotNull(), "unknown_state"
     )
     return (
-        classified.select("ENTITY", "state_date", F.trim("ENTITY_STATE").alias("state"), event.alias("event"))
+        classified.select("ENTITY", "state_date", state_name(F.col("ENTITY_STATE")).alias("state"), event.alias("event"))
         .where(F.col("event").isNotNull())
         .groupBy("event", "ENTITY", "state_date", "state")
         .agg(F.count("*").alias("n_rows"))

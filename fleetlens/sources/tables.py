@@ -70,10 +70,10 @@ def write_table(
 def _write(
     df: DataFrame, path: str, mode: str, overwrite: str, partition_by: str | None, sort_by: Sequence[str]
 ) -> int:
+    rows = df.hint("rebalance", F.col(partition_by)) if partition_by else df
+    # Counted in the tasks that write, so that a map task run again does not count twice.
     written = Observation()
-    rows = df.observe(written, F.count(F.lit(1)).alias("n"))
-    if partition_by:
-        rows = rows.hint("rebalance", partition_by)
+    rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
     if sort_by:
         rows = rows.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
     writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
