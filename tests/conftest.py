@@ -13,7 +13,7 @@ from fleetlens.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", memory="4g", shuffle_partitions=4)
+    session = local_session("tests", memory="4g", shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     if not session.sparkContext.getCheckpointDir():
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))

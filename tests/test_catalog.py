@@ -18,15 +18,13 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
-    assert differences(spark_rows(QUERIES[name](spark, DIRECTORY)), duck_rows(duck(DIRECTORY), SQL[name])) == ""
+    df = QUERIES[name](spark, DIRECTORY)
+    assert differences(spark_rows(df), duck_rows(duck(DIRECTORY), SQL[name])) == ""
+    # Plans stay in the JVM and join by key.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert operator not in plan
 
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plans_stay_in_the_jvm_and_join_by_key(spark, name):
-    plan = QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
-        assert operator not in plan

@@ -152,6 +152,14 @@ def test_upsert_replaces_and_is_idempotent(spark, tmp_path):
             ("a", d1, 1), ("a", d2, 30), ("a", d3, 6), ("b", d1, 2), ("c", d2, 4),
         ]
     assert (tmp_path / "t" / "day=2025-01-01").stat().st_mtime_ns == untouched
+    undated = spark.createDataFrame([("a", None, 7)], schema)
+    for _ in range(2):
+        tables.upsert(undated, path, ["ENTITY", "day"], "day", ["v"])
+    assert rows(tables.read_table(spark, path).where("day is null"), "ENTITY", "v") == [("a", 7)]
+    wider = spark.createDataFrame([("z", d3, "new")], "ENTITY string, day date, note string")
+    tables.upsert(wider, path, ["ENTITY", "day"], "day")
+    merged = tables.read_table(spark, path, merge_schema=True)
+    assert rows(merged.where(merged.day == d3), "ENTITY", "v", "note") == [("a", 6, None), ("z", None, "new")]
     with pytest.raises(ValueError):
         tables.upsert(second, path, ["ENTITY"], "day")
 

@@ -51,12 +51,21 @@ EXPECTED = [
 ]
 
 
-def test_full_run_gives_all_tables_and_repeats_itself(spark, tmp_path):
+@pytest.fixture(scope="module")
+def full(spark, tmp_path_factory):
+    """Folder of a full run over three weeks, and its tables."""
+    folder = tmp_path_factory.mktemp("full")
     for i in range(3):
-        write_week(tmp_path / "in", i)
-    this = job(spark, tmp_path, dt.date(2025, 12, 17))
-    for _ in range(2):
-        tables = layers.run(this)
+        write_week(folder / "in", i)
+    return folder, layers.run(job(spark, folder, dt.date(2025, 12, 17)))
+
+
+def comparable(df):
+    return [f"`{c}`" for c in df.columns if not c.endswith(("_ts", "timestamp", "load_date"))]
+
+
+def test_full_run_gives_all_tables(full):
+    _, tables = full
     assert set(params.NATURAL_KEYS) <= set(tables)
     assert rows(tables["wafer_production"], *PRODUCTION) == EXPECTED
     rates = rows(tables["wafer_production"], F.round("wafers_per_hour", 1))
@@ -70,19 +79,22 @@ def test_full_run_gives_all_tables_and_repeats_itself(spark, tmp_path):
     assert rows(tables["fact_state_hours_weekly"], "YEARWW", "total_hours", "days_with_data") == [
         ("2025WW49", D("24.00"), 1), ("2025WW50", D("24.00"), 1), ("2025WW51", D("24.00"), 1),
     ]
+
+
+def test_tables_keep_their_keys(full):
+    _, tables = full
     for table, keys in params.NATURAL_KEYS.items():
         assert unique_violations(tables[table], keys).count() == 0, table
         assert null_violations(tables[table], params.REQUIRED_COLUMNS[table]).where("n_nulls > 0").count() == 0, table
 
 
-def test_weekly_incremental_runs_equal_one_full_run(spark, tmp_path):
-    for i in range(3):
+def test_weekly_incremental_runs_equal_one_full_run(spark, tmp_path, full):
+    for i in (0, 1, 2, 2):
         write_week(tmp_path / "in", i)
         last = layers.run(job(spark, tmp_path, DAYS[i] + dt.timedelta(days=1), "incremental"))
-    full = layers.run(job(spark, tmp_path, dt.date(2025, 12, 17), "full", "other"))
     for table in params.NATURAL_KEYS:
-        columns = [c for c in full[table].columns if not c.endswith(("_ts", "timestamp", "load_date"))]
-        assert rows(last[table], *[f"`{c}`" for c in columns]) == rows(full[table], *[f"`{c}`" for c in columns]), table
+        columns = comparable(full[1][table])
+        assert rows(last[table], *columns) == rows(full[1][table], *columns), table
 
 
 def test_layers_run_alone_and_in_order(spark, tmp_path):
@@ -99,19 +111,17 @@ def test_layers_run_alone_and_in_order(spark, tmp_path):
     assert "fact_daily_production" in layers.run(this, "gold")
 
 
-def test_stream_of_arrivals_equals_batch_load(spark, tmp_path):
-    source, checkpoints = tmp_path / "in", tmp_path / "cp"
+def test_stream_of_arrivals_equals_batch_load(spark, tmp_path, full):
     this = job(spark, tmp_path, dt.date(2025, 12, 17))
-    for i in range(3):
-        write_week(source, i)
-        for kind, pattern, load in (
-            ("states", "EntityStates.csv", arrivals.load_states), ("counters", "Counters_*.csv", arrivals.load_counters),
-        ):
-            arrivals.start(this, pattern, load, str(checkpoints / kind)).awaitTermination(120)
-    batch = layers.run(job(spark, tmp_path, dt.date(2025, 12, 17), "full", "other"), "bronze")
+    kinds = {"states": ("EntityStates.csv", arrivals.load_states), "counters": ("Counters_*.csv", arrivals.load_counters)}
+    for weeks in ((0, 1), (2,)):
+        for i in weeks:
+            write_week(tmp_path / "in", i)
+        for kind, (pattern, load) in kinds.items():
+            arrivals.start(this, pattern, load, str(tmp_path / kind)).awaitTermination(120)
     for table in ("entity_states_raw", "counters_raw"):
-        columns = [f"`{c}`" for c in batch[table].columns]
-        assert rows(read_table(spark, this.path(table)), *columns) == rows(batch[table], *columns)
+        columns = comparable(full[1][table])
+        assert rows(read_table(spark, this.path(table)), *columns) == rows(full[1][table], *columns)
 
 
 def test_installed_base_job(spark, tmp_path):
