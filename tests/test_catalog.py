@@ -7,13 +7,16 @@ import importlib
 import pytest
 from compare import differences, duck, duck_rows, spark_rows
 
+from fleetlens.plans import catalog, oracle
+
 DIRECTORY = "/root/testdata/sf0.001"
 entry_module = importlib.import_module("__spark_entry__")
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
