@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
+from fleetlens.llm.hyperminhash import near_duplicates
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with a similarity of 0.85 or more on three-word shingles."""
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +33,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_near_duplicates": op7_near_duplicates,
         "op9_decontamination": op9_decontamination,
     }
