@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fleetlens.llm import secrets
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
 from fleetlens.llm.hyperminhash import near_duplicates
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: known forms and strings that pass the randomness tests."""
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with a similarity of 0.85 or more on three-word shingles."""
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
@@ -33,6 +39,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_secrets": op5_secrets,
         "op7_near_duplicates": op7_near_duplicates,
         "op9_decontamination": op9_decontamination,
     }
