@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import secrets
+from fleetlens.llm import pii, secrets
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
 from fleetlens.llm.hyperminhash import near_duplicates
@@ -37,9 +37,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: known forms and the terms that reveal them."""
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_secrets": op5_secrets,
         "op7_near_duplicates": op7_near_duplicates,
         "op9_decontamination": op9_decontamination,
+        "op10_personal_data": op10_personal_data,
     }
