@@ -6,12 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import pii, secrets
+from fleetlens.llm import pii, secrets, toxicity
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
 from fleetlens.llm.hyperminhash import near_duplicates
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside the held-out fold."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(texts, table(spark, sf_dir, "labels"))
+    ids = texts.select("doc_id", toxicity.fold(F.col("doc_id")).alias("fold"), "text")
+    scored = toxicity.scored(ids, model)
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.col("row.fold") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: known forms and strings that pass the randomness tests."""
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -44,6 +58,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_toxicity": op3_toxicity,
         "op5_secrets": op5_secrets,
         "op7_near_duplicates": op7_near_duplicates,
         "op9_decontamination": op9_decontamination,
