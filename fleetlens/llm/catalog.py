@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, html_text, pii, secrets, toxicity
+from fleetlens.llm import chat, html_text, pii, secrets, sentencepieces, simhash, token_counts, toxicity
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
 from fleetlens.llm.hyperminhash import near_duplicates
 
 
+#: A public model file; its path is a parameter of the operators.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of pieces of every document, and the score of their path."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), MODEL)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), MODEL)
+    return encoded.select(F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels outside the held-out fold."""
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +56,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return simhash.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with a similarity of 0.85 or more on three-word shingles."""
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
@@ -73,9 +93,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": op1_token_counts,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_toxicity": op3_toxicity,
         "op4_chat": op4_chat,
         "op5_secrets": op5_secrets,
+        "op6_fingerprints": op6_fingerprints,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_main_text": op8_main_text,
         "op9_decontamination": op9_decontamination,
