@@ -166,13 +166,17 @@ def estimated(pairs: DataFrame, classes: DataFrame, registers: int, percent: int
     return rows.mapInArrow(passing, "a long, b long, na long, nb long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) whose full sets reach the threshold."""
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) with `both`, the size of the intersection of their full sets."""
     a = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("xa"))
     b = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("xb"))
     both = F.size(F.array_intersect("xa", "xb"))
-    rows = pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", both.alias("both"))
-    return rows.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", both.cast("long").alias("both"))
+
+
+def linked(pairs: DataFrame, percent: int) -> DataFrame:
+    """The measured pairs that reach the threshold."""
+    return pairs.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
@@ -192,8 +196,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     shared = checkpointed(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     members = checkpointed(keyed.join(shared, "key"))
 
-    linked = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    found = checkpointed(classes.join(linked, "rep"))  # classes that share a key; all that follows is about them
+    weights = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    found = checkpointed(classes.join(weights, "rep"))  # classes that share a key; all that follows is about them
     wanted = found.select(F.col("rep").alias("doc_id"), F.col("digest").alias("wanted"))
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     sets = shingle_sets(texts.join(wanted.select("doc_id"), "doc_id", "left_semi"), words)
@@ -205,10 +209,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     hubs = checkpointed(weighted.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("of"))).alias("hub")))
     hubs = hubs.select("key", (-F.col("hub.of")).alias("b"))
     pairs = members.select("key", F.col("rep").alias("a")).join(hubs, "key").where("a <> b").select("a", "b").distinct()
-    edges = checkpointed(verified(estimated(pairs, found, registers, percent), sets, percent))
+    to_hub = checkpointed(measured(estimated(pairs, found, registers, percent), sets))
+    edges = linked(to_hub, percent)
     labels = components(edges)
 
-    more = checkpointed(_across(members, found, sets, labels, registers, percent))
+    more = checkpointed(_across(members, hubs, to_hub, found, sets, labels, registers, percent))
     if not more.isEmpty():
         labels = components(edges.union(more))
     roots = classes.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -219,9 +224,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
 
 
 def _across(
-    members: DataFrame, found: DataFrame, sets: DataFrame, labels: DataFrame, registers: int, percent: int
-) -> DataFrame:
-    """Links between classes that share a key but no component yet."""
+    members: DataFrame, hubs: DataFrame, to_hub: DataFrame, found: DataFrame, sets: DataFrame, labels: DataFrame,
+    registers: int, percent: int,
+) -> DataFrame:
+    """Links between classes that share a key but no component yet.
+
+    Two bounds rule pairs out by numbers of their own, before a row is made.  Shingles that a class has alone are in no
+    intersection.  And where the distances of both to the key's hub are known (sizes d of the symmetric differences), at
+    most the smaller part of them that isn't theirs alone can cancel: |a ^ b| >= da + db - 2 * min(da - own_a, db - own_b).
+    """
     placed = members.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     placed = checkpointed(placed.select("key", "rep", F.coalesce("component", "rep").alias("component")))
     open_keys = _mixed_keys(placed)
@@ -237,13 +248,27 @@ def _across(
     able = left.join(sizes.where(F.col("most") * 100 >= F.col("n") * percent), "rep")
     able = checkpointed(able)
     able = able.join(_mixed_keys(able), "key")
-    a = able.select("key", *[F.col(c).alias(d) for c, d in (("rep", "a"), ("component", "ca"), ("n", "na"), ("most", "ma"))])
-    b = able.select("key", *[F.col(c).alias(d) for c, d in (("rep", "b"), ("component", "cb"), ("n", "nb"), ("most", "mb"))])
-    most = F.least("ma", "mb")
-    reachable = (F.col("ca") < F.col("cb")) & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent)
-    keys = a["key"] == b["key"]
-    pairs = a.join(b, keys & reachable).select("a", "b").distinct()
-    return verified(estimated(pairs, found, registers, percent), sets, percent)
+    # A class has at most as many keys as there are bands; with all of them at hand a pair is made at its least key only.
+    keys = able.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    distance = to_hub.select(
+        F.col("a").alias("rep"), F.col("b").alias("hub"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("far")
+    )
+    able = able.join(keys, "rep").join(hubs.withColumnRenamed("b", "hub"), "key").join(distance, ["rep", "hub"], "left")
+    far = F.when(F.col("rep") == F.col("hub"), F.lit(0)).otherwise(F.col("far"))
+    able = able.withColumn("far", far).withColumn("open", F.col("far") - F.when(F.col("rep") == F.col("hub"), F.lit(0)).otherwise(F.col("n") - F.col("most")))
+
+    def side(name: str) -> DataFrame:
+        return able.select("key", *[F.col(c).alias(name + c) for c in ("rep", "component", "n", "most", "keys", "far", "open")])
+
+    a, b = side("a"), side("b")
+    most = F.least("amost", "bmost")
+    reachable = most * 100 >= (F.col("an") + F.col("bn") - most) * percent
+    apart = F.col("afar") + F.col("bfar") - 2 * F.least("aopen", "bopen")
+    near = F.coalesce(apart * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent), F.lit(True))
+    first_key = a["key"] == F.array_min(F.array_intersect("akeys", "bkeys"))
+    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("acomponent") < F.col("bcomponent")) & reachable & near & first_key)
+    pairs = pairs.select(F.col("arep").alias("a"), F.col("brep").alias("b"))
+    return linked(measured(estimated(pairs, found, registers, percent), sets), percent)
 
 
 def _mixed_keys(placed: DataFrame) -> DataFrame:
