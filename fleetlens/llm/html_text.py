@@ -5,7 +5,7 @@
     forms, navigation, ...) or by a word of their class, id or role (menu, sidebar, cookie, advert, comments, ...).
 2.  A line's ratio is its characters, without spaces, per tag.  Ratios are smoothed over neighbouring lines by a Gaussian kernel;
     lines whose smoothed ratio reaches the page's threshold (its standard deviation, at most its mean) are content clusters.
-3.  The clusters select the region: the innermost `article` or `main`, else the innermost element that holds at least
+3.  The clusters select the region: the innermost `article` or `main`, else the innermost element, that holds at least
     `MAJORITY` of the clusters' text.  All its lines are the result, so that short lines between long ones aren't lost.
 
 White space inside a line is one space, lines are joined by one space.  Null, empty and textless pages give an empty text;
@@ -52,7 +52,7 @@ NO_CONTENT = re.compile(
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Standard deviation of the smoothing kernel, in lines.
 SIGMA = 1.0
-MAJORITY = 0.5
+MAJORITY = 0.8
 
 
 class _Reader(HTMLParser):
@@ -184,7 +184,7 @@ def main_text(html: str | None) -> str:
     marked = [number for number in holders if page.names[number] in ("article", "main")]
     # A single paragraph can hold most of the text; what holds it is the region.
     whole = [number for number in holders if page.names[number] not in INLINE and page.names[number] not in ("p", "li")]
-    # Elements that hold the majority lie inside each other (or share it in halves): the last one is the innermost.
+    # Elements that hold the majority lie inside each other: the last one is the innermost.
     region = max(marked or whole)
     return " ".join(text for text, _, number in page.lines if region <= number <= page.last[region])
 
