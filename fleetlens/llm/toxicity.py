@@ -9,7 +9,8 @@ where the bracket is the risk on non-toxic text and can't be negative (if it is
 g is linear in the presence of features: words in lower case and their first 4, 5 and 6 letters, hashed.
 
 Samples are bounded: about `max_positive` labelled and `max_unlabelled` other documents by a hash of doc_id, whole texts.
-They reach the driver as hashed features, and the fit (numpy) takes seconds at any size of the corpus.  Every document is
+Spark selects the features that tell; the driver gets these and,
+per sampled document, which of them it has, and the fit (numpy) takes seconds at any size of the corpus.  Every document is
 scored, where it lies.
 
 Cases: an empty, null or wordless text scores sigmoid(bias), as text without evidence; without any positive label every
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlens.llm.common import Memo, ship
+from fleetlens.llm.common import Memo, checkpointed, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -91,25 +92,13 @@ class _Matrix:
         return np.bincount(self.columns, errors[self.rows], self.size)
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, l2: float = 2e-4) -> Model:
-    """A model by Adam on the whole risk; deterministic."""
+def fit(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], kept: np.ndarray, prior: float, steps: int = 300, l2: float = 2e-4
+) -> Model:
+    """A model by Adam on the whole risk; deterministic.  Rows hold places in `kept`, the features' numbers."""
     if not positive or not unlabelled:
         return Model()
-    count = [np.bincount(np.concatenate(part), minlength=SPACE) for part in (positive, unlabelled)]
-    rate = [(c + 0.5) / (len(part) + 1) for c, part in zip(count, (positive, unlabelled))]
-    # Features that toxic texts have more often than chance explains (by MARGIN standard deviations); what they lack is
-    # no evidence against them.
-    expected = len(positive) * rate[1]
-    gain = (count[0] - expected) / np.sqrt(expected) * (count[0] >= 3)
-    gain[gain < MARGIN] = 0
-    kept = np.sort(np.argsort(-gain, kind="stable")[: min(KEPT, int((gain > 0).sum()))])
-    number = np.full(SPACE, -1)
-    number[kept] = np.arange(len(kept))
-
-    def matrix(part):
-        return _Matrix([(x := number[row])[x >= 0] for row in part], len(kept))
-
-    p, u = matrix(positive), matrix(unlabelled)
+    p, u = _Matrix(positive, len(kept)), _Matrix(unlabelled, len(kept))
     w, bias = np.zeros(len(kept)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     for step in range(1, steps + 1):
@@ -155,10 +144,42 @@ def train(
     rows = texts.join(F.broadcast(chosen.withColumn("positive", F.lit(True))), F.col("doc_id") == F.col("id"), "left")
     rows = rows.select("text", F.col("positive").isNotNull().alias("positive"), of_all.alias("unlabelled"), F.xxhash64("doc_id").alias("at"))
     rows = rows.where("positive or unlabelled").mapInArrow(_features, "at long, positive boolean, unlabelled boolean, features array<int>")
-    found = rows.toPandas().sort_values(["at", "positive"], kind="stable")
-    most = {"positive": 2 * max_positive, "unlabelled": 2 * max_unlabelled}
-    samples = {k: [np.asarray(x, np.int64) for x in found.loc[found[k], "features"]][: most[k]] for k in most}
-    return fit(samples["positive"], samples["unlabelled"], prior)
+    rows = checkpointed(rows)  # as many rows as the samples have, without texts
+    kept = _telling(rows)
+    samples = _samples(rows, kept, {"positive": 2 * max_positive, "unlabelled": 2 * max_unlabelled})
+    return fit(samples["positive"], samples["unlabelled"], kept, prior)
+
+
+def _telling(rows: DataFrame) -> np.ndarray:
+    """Features that positives have more often than chance explains, by MARGIN standard deviations: at most KEPT of them.
+
+    What positives lack is no evidence against them.
+    """
+    flags = {"positive": F.col("positive").cast("long"), "unlabelled": F.col("unlabelled").cast("long")}
+    positives, unlabelled = rows.agg(*[F.coalesce(F.sum(flag), F.lit(0)) for flag in flags.values()]).first()
+    counts = rows.select(F.explode("features").alias("feature"), "positive", "unlabelled").groupBy("feature").agg(
+        F.sum(flags["positive"]).alias("p"), F.sum(flags["unlabelled"]).alias("u")
+    )
+    expected = F.lit(positives) * (F.col("u") + 0.5) / F.lit(unlabelled + 1)
+    gain = ((F.col("p") - expected) / F.sqrt(expected)).alias("gain")
+    best = counts.where("p >= 3").select("feature", gain).where(F.col("gain") >= MARGIN)
+    return np.sort(np.array([row[0] for row in best.orderBy(F.desc("gain"), "feature").limit(KEPT).collect()], np.int64))
+
+
+def _samples(rows: DataFrame, kept: np.ndarray, most: dict[str, int]) -> dict[str, list[np.ndarray]]:
+    """The samples as places in `kept`: a few numbers per row."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.flatnonzero(np.isin(kept, np.asarray(x))).astype(np.int32) for x in batch.column("features").to_pylist()]
+            columns = [batch.column(name) for name in ("at", "positive", "unlabelled")] + [pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "positive", "unlabelled", "features"])
+
+    # Ordered by a hash and by content, so that the fit doesn't depend on the order of tasks.
+    found = sorted((tuple(row) for row in rows.mapInArrow(places, rows.schema).collect()), key=lambda row: (row[0], row[3]))
+    return {
+        name: [np.array(row[3], np.int64) for row in found if row[k]][: most[name]] for k, name in ((1, "positive"), (2, "unlabelled"))
+    }
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
