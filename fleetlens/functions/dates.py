@@ -77,9 +77,29 @@ def utc_time(instant: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+# Shapes of dates other than ISO, each with its pattern.
+_OTHER_DATES = [
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+]
+
+
 def tool_age_days(warranty_start: Column, asof: dt.date) -> Column:
-    """Whole days (rounded down) from ``warranty_start`` to ``asof``; null for a bad or missing date."""
-    start = warranty_start.try_cast("timestamp_ntz")
+    """Whole days (rounded down) from ``warranty_start`` to ``asof``; null for a bad or missing date.
+
+    Besides ISO texts, month/day/year (with or without a time), day-month name-year and yyyymmdd are read.
+    """
+    start = F.coalesce(
+        warranty_start.try_cast("timestamp_ntz"),
+        *[
+            F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
+            for text in [warranty_start.cast("string")]
+            for shape, pattern in _OTHER_DATES
+        ],
+    )
     day = start.cast("date")
     started_later = start > day.cast("timestamp_ntz")
     return (F.datediff(F.lit(asof), day) - started_later.cast("int")).cast("bigint")

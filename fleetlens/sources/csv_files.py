@@ -182,11 +182,16 @@ def _typed(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def read_states(
-    spark: SparkSession, files: DataFrame, load_ts: dt.datetime, encoding: str = "auto", **normalization
+    spark: SparkSession,
+    files: DataFrame,
+    load_ts: dt.datetime,
+    encoding: str = "auto",
+    multiline: bool = False,
+    **normalization,
 ) -> Loaded:
     """State rows with typed hours, tool keys and load metadata."""
     loaded = read_csv_files(
-        spark, files, params.STATE_REQUIRED, params.STATE_COLUMNS, encoding,
+        spark, files, params.STATE_REQUIRED, params.STATE_COLUMNS, encoding, multiline,
         prepare=lambda df: with_tool_keys(df, **normalization),
     )
     absent = [name for name in params.STATE_COLUMNS if name not in loaded.rows.columns]
@@ -202,6 +207,7 @@ def read_counters(
     load_ts: dt.datetime,
     date_shift: int = params.COUNTER_DATE_SHIFT_DAYS,
     encoding: str = "auto",
+    multiline: bool = False,
     **normalization,
 ) -> Loaded:
     """Counter rows with typed counters, tool keys, the day they describe and load metadata.
@@ -209,7 +215,7 @@ def read_counters(
     FAB is derived from ENTITY for files without that column.
     """
     loaded = read_csv_files(
-        spark, files, params.COUNTER_REQUIRED, encoding=encoding,
+        spark, files, params.COUNTER_REQUIRED, encoding=encoding, multiline=multiline,
         prepare=lambda df: with_tool_keys(df, **normalization),
     )
     counters = [name for name in loaded.rows.columns if name.endswith(params.COUNTER_SUFFIX)]

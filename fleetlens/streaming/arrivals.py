@@ -20,8 +20,8 @@ _ARRIVAL = "path string, modificationTime timestamp, length long, content binary
 
 
 def _arrived_weeks(batch: DataFrame) -> DataFrame:
-    """(ww, rank) of the week folders in which files arrived, newest first."""
-    weeks = batch.select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("ww")).distinct()
+    """(ww, rank) of the week folders in which files arrived, newest first; other folders don't count."""
+    weeks = batch.select(F.regexp_extract("path", r"/([0-9]{4}WW[0-9]{2})/[^/]+$", 1).alias("ww")).distinct().where("ww <> ''")
     # Week labels sort by time; only their order matters, so the negated number serves as rank.
     return weeks.select("ww", (-F.replace("ww", F.lit("WW"), F.lit("")).cast("bigint")).alias("rank"))
 
@@ -48,8 +48,9 @@ def start(
     """
 
     def on_batch(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            load(job, _arrived_weeks(batch))
+        weeks = _arrived_weeks(batch)
+        if not weeks.isEmpty():
+            load(job, weeks)
 
     arrivals = _arrivals(job.spark, job.source, pattern)
     writer = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
