@@ -162,12 +162,14 @@ def incremental_production(
     state_hours: DataFrame,
     since: dt.date,
     order_by: Sequence[str] = ("FAB_ENTITY",),
+    ties: Sequence[str | Column] = (),
     **rules,
 ) -> DataFrame:
     """Production details of ``recent`` counters from day ``since`` on.
 
     Of the ``history`` before that day only each tool's last row is used, so that its first recent
-    day has a previous value.  A map-side aggregate leaves one such row per tool and task.
+    day has a previous value.  A map-side aggregate leaves one such row per tool and task.  Where
+    several loads of the history tell one day, the greatest of ``ties`` decides.
     """
     start = F.lit(since)
     counters = [name for name in history.columns if name.endswith(params.COUNTER_SUFFIX)]
@@ -176,7 +178,7 @@ def incremental_production(
     last_known = (
         history.where((F.col("counter_date") < start) & F.col("ENTITY").isNotNull())
         .groupBy("ENTITY")
-        .agg(F.max_by(row, F.struct("counter_date", *order_by)).alias("row"))
+        .agg(F.max_by(row, F.struct("counter_date", *order_by, *ties)).alias("row"))
         .select("row.*")
     )
     rows = union_dynamic([recent.where(F.col("counter_date") >= start), last_known])

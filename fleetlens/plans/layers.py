@@ -1,7 +1,9 @@
 """The tool-state and counter job: raw tables, enriched tables, fact tables.
 
-Each layer reads the stored tables of the layer before it and upserts its own, so layers can run
-alone and a repeated run changes nothing.
+Each layer reads the stored tables of the layer before it and replaces partitions of its own, so layers can
+run alone and a repeated run changes nothing.  A file that is loaded again replaces what it said before; days
+are computed anew from the rows of all stored weeks, and those that have no rows any more are emptied.  From
+which day on is noted in the table ``pending`` before raw rows change, until the layer has seen to it.
 """
 
 from __future__ import annotations
@@ -12,11 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlens import params
-from fleetlens.functions import iso_yearww
+from fleetlens.functions import counter_date, iso_yearww, utc_time
 from fleetlens.operators import production, states
-from fleetlens.operators.relational import by_mode, dedup_keep_last, stamp
+from fleetlens.operators.relational import by_mode, dedup_keep_last, recent_work_weeks, stamp, union_dynamic
 from fleetlens.sources import csv_files
-from fleetlens.sources.tables import read_table, upsert
+from fleetlens.sources.tables import read_table, replace_partitions, staged, write_table
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -51,12 +53,12 @@ class Job:
     def path(self, table: str) -> str:
         return f"{self.store}/{table}"
 
-    def save(self, df: DataFrame, table: str) -> None:
-        partition = PARTITIONS[table]
-        keys = list(params.NATURAL_KEYS[table])
-        # Raw tables keep what each week's files said; weeks are reconciled when they are read.
-        keys += [] if partition in keys else [partition]
-        upsert(df, self.path(table), keys, partition, sort_by=["ENTITY"])
+    def replace(self, df: DataFrame, table: str, replaced: Column) -> None:
+        """Store the rows in place of those partitions that meet the condition."""
+        replace_partitions(df, self.path(table), PARTITIONS[table], replaced, sort_by=["ENTITY"])
+
+    def replace_days(self, df: DataFrame, table: str, since: dt.date) -> None:
+        self.replace(df, table, F.col(PARTITIONS[table]) >= F.lit(since))
 
     def stored(self, table: str, merge_schema: bool = False) -> DataFrame:
         df = read_table(self.spark, self.path(table), merge_schema=merge_schema)
@@ -64,56 +66,129 @@ class Job:
             raise ValueError(f"table {table} is empty: run the layer before it first")
         return df
 
+    @property
+    def week_order(self) -> Column:
+        """Of weeks that tell the same, the one with the greatest value counts."""
+        week = F.replace("load_ww", F.lit("WW"), F.lit("")).cast("int")
+        return -week if self.prefer == "oldest" else week
+
     def raw(self, table: str, df: DataFrame) -> DataFrame:
         """One row per natural key of a raw table whose weeks overlap."""
-        week = F.replace("load_ww", F.lit("WW"), F.lit("")).cast("int")
-        return dedup_keep_last(df, params.NATURAL_KEYS[table], [-week if self.prefer == "oldest" else week])
+        return dedup_keep_last(df, params.NATURAL_KEYS[table], [self.week_order])
+
+
+def _per_week(job: Job, rows: DataFrame, table: str) -> DataFrame:
+    """One row per natural key and week: raw tables keep what each week's file says."""
+    return csv_files.keep_last_loaded(rows, [*params.NATURAL_KEYS[table], "load_ww"], job.prefer)
+
+
+def _loaded_weeks(report: DataFrame) -> list[str]:
+    """Weeks whose file could be read; a file that was rejected leaves the stored rows as they are."""
+    return [row.ww for row in report.where("loaded").select("ww").distinct().collect()]
+
+
+def _note(job: Job, table: str, days: list[DataFrame]) -> None:
+    """Note for the later layers the first of the days (one date column each) that a load adds, changes or takes away."""
+    firsts = [first for df in days if (first := df.agg(F.min(df.columns[0])).first()[0])]
+    if firsts:
+        noted = [(layer, table, min(firsts)) for layer in LAYERS[1:]]
+        pending = job.spark.createDataFrame(noted, "layer string, table string, first_day date")
+        write_table(pending, job.path("pending"), partition_by="layer")
+
+
+def load_states(job: Job, weeks: DataFrame) -> csv_files.Loaded:
+    """Load the state files of some weeks (ww, rank) in place of what was stored for these weeks."""
+    table = "entity_states_raw"
+    loaded = csv_files.read_states(job.spark, csv_files.discover_state_files(job.spark, job.source, weeks), job.load_ts)
+    rows = staged(_per_week(job, loaded.rows, table), f"{job.path(table)}_loaded")
+    read = F.col("load_ww").isin(*_loaded_weeks(loaded.report))
+    stored = read_table(job.spark, job.path(table))
+    old = [] if stored is None else [stored.where(read)]
+    _note(job, table, [states.classified_states(df, job.asof).select("state_date") for df in (rows, *old)])
+    job.replace(rows, table, read)
+    return csv_files.Loaded(rows, loaded.report)
+
+
+def load_counters(job: Job, weeks: DataFrame) -> csv_files.Loaded:
+    """Load the counter files of some weeks (ww, rank) in place of what was stored for their weeks and days.
+
+    A week's newest file tells one day; the days that earlier files of the week told stay.
+    """
+    table = "counters_raw"
+    files = csv_files.discover_counter_files(job.spark, job.source, weeks)
+    loaded = csv_files.read_counters(job.spark, files, job.load_ts)
+    rows = staged(_per_week(job, loaded.rows, table), f"{job.path(table)}_loaded")
+    read = F.col("load_ww").isin(*_loaded_weeks(loaded.report))
+    told = files.select(F.col("ww").alias("load_ww"), counter_date(utc_time(F.col("modified"))).alias("counter_date"))
+    told = told.where(read)
+    _note(job, table, [told.select("counter_date")])
+    stored = read_table(job.spark, job.path(table), merge_schema=True)
+    whole = rows
+    if stored is not None:
+        others = stored.where(read).join(told, ["load_ww", "counter_date"], "left_anti")
+        whole = union_dynamic([others.select(*stored.columns), rows])
+    job.replace(whole, table, read)
+    return csv_files.Loaded(rows, loaded.report)
 
 
 def run_bronze(job: Job) -> dict[str, DataFrame]:
     """Load the files of the weeks that the mode asks for; returns the raw tables and the file reports."""
-    options = {"mode": job.mode, "weeks": job.weeks, "prefer": job.prefer}
-    loads = {
-        "entity_states_raw": csv_files.bronze_states(job.spark, job.source, job.asof, job.load_ts, **options),
-        "counters_raw": csv_files.bronze_counters(job.spark, job.source, job.asof, job.load_ts, **options),
-    }
+    weeks = recent_work_weeks(job.spark, job.asof, csv_files.weeks_for_mode(job.mode, job.weeks))
+    loads = {"entity_states_raw": load_states(job, weeks), "counters_raw": load_counters(job, weeks)}
     tables = {}
     for table, loaded in loads.items():
-        job.save(loaded.rows, table)
         stored = read_table(job.spark, job.path(table), merge_schema=True)
         tables[table] = loaded.rows if stored is None else stored
         tables[f"{table}_files"] = loaded.report
     return tables
 
 
-def _first_day(job: Job, df: DataFrame, column: str) -> dt.date:
-    """First day to compute: the first one loaded, and the lookback for late data."""
-    loaded = by_mode(df, job.mode, job.asof, job.weeks).agg(F.min(column)).first()[0]
-    late = job.asof - dt.timedelta(days=job.lookback_days)
-    return min(loaded, late) if loaded else late
+def _first_day(job: Job, layer: str, table: str, df: DataFrame, column: str) -> dt.date:
+    """First day to compute: that of the weeks the mode asks for, of loads not yet seen to, and of late data."""
+    days = [job.asof - dt.timedelta(days=job.lookback_days)]
+    days.append(by_mode(df, job.mode, job.asof, job.weeks).agg(F.min(column)).first()[0])
+    pending = read_table(job.spark, job.path("pending"))
+    if pending is not None:
+        noted = pending.where((F.col("layer") == layer) & (F.col("table") == table))
+        days.append(noted.agg(F.min("first_day")).first()[0])
+    return min(day for day in days if day)
+
+
+def _first_days(job: Job, layer: str) -> tuple[dt.date, dt.date]:
+    """First days to compute of states and of production, which a late state completes too."""
+    dated = states.classified_states(job.stored("entity_states_raw"), job.asof)
+    state_day = _first_day(job, layer, "entity_states_raw", dated, "state_date")
+    counters = job.stored("counters_raw", merge_schema=True)
+    return state_day, min(state_day, _first_day(job, layer, "counters_raw", counters, "counter_date"))
+
+
+def _done(job: Job, layer: str) -> None:
+    """A layer has seen to all that was noted for it."""
+    pending = read_table(job.spark, job.path("pending"))
+    if pending is not None:
+        replace_partitions(pending.where("false"), job.path("pending"), "layer", F.col("layer") == layer)
 
 
 def run_silver(job: Job) -> dict[str, DataFrame]:
     """State hours, production and replacements of the days the loaded weeks touch."""
-    raw_states = job.stored("entity_states_raw")
-    # A day may be told by the files of two weeks, so the weeks before an incremental one are read too.
-    recent_states = job.raw("entity_states_raw", by_mode(raw_states, "full", job.asof, job.weeks))
-    dated = states.classified_states(recent_states, job.asof)
-    first_state_day = _first_day(job, dated, "state_date")
-    hours = states.hours_of_classified(dated.where(F.col("state_date") >= F.lit(first_state_day)))
-    job.save(stamp(hours, "calculation_timestamp", job.load_ts), "state_hours")
+    first_state_day, first_day = _first_days(job, "silver")
+    # A day may be told by the files of several weeks, so its rows are taken from all of them.
+    dated = states.classified_states(job.stored("entity_states_raw"), job.asof)
+    dated = job.raw("entity_states_raw", dated.where(F.col("state_date") >= F.lit(first_state_day)))
+    hours = states.hours_of_classified(dated)
+    job.replace_days(stamp(hours, "calculation_timestamp", job.load_ts), "state_hours", first_state_day)
 
     raw_counters = job.stored("counters_raw", merge_schema=True)
-    first_day = _first_day(job, raw_counters, "counter_date")
     recent = job.raw("counters_raw", raw_counters.where(F.col("counter_date") >= F.lit(first_day)))
     stored_hours = job.stored("state_hours").where(F.col("state_date") >= F.lit(first_day))
-    details = production.incremental_production(recent, raw_counters, stored_hours, first_day)
+    details = production.incremental_production(recent, raw_counters, stored_hours, first_day, ties=[job.week_order])
     made = stamp(details.select(*production.PRODUCTION_COLUMNS), "calculation_timestamp", job.load_ts)
-    job.save(made, "wafer_production")
+    job.replace_days(made, "wafer_production", first_day)
 
     stored_made = job.stored("wafer_production").where(F.col("counter_date") >= F.lit(first_day))
     events = stamp(production.part_replacements(stored_made), "replacement_detected_ts", job.load_ts)
-    job.save(events, "part_replacements")
+    job.replace_days(events, "part_replacements", first_day)
+    _done(job, "silver")
     events_stored = read_table(job.spark, job.path("part_replacements"))
     return {
         "state_hours": job.stored("state_hours"),
@@ -122,38 +197,45 @@ def run_silver(job: Job) -> dict[str, DataFrame]:
     }
 
 
-def _whole_weeks(job: Job, table: str, column: str, since: dt.date) -> DataFrame:
-    """Stored days of every week label that has a day from ``since`` on.
+def _weeks_since(job: Job, days: str, column: str, weeks: str, since: dt.date) -> list[str]:
+    """Week labels that have a day from ``since`` on, or had one when the weekly fact was stored."""
+    found = job.stored(days).where(F.col(column) >= F.lit(since)).select(iso_yearww(F.col(column)).alias("YEARWW"))
+    before = read_table(job.spark, job.path(weeks))
+    if before is not None:
+        found = found.union(before.where(F.col("week_end_date") >= F.lit(since)).select("YEARWW"))
+    return [row[0] for row in found.distinct().collect()]
+
+
+def _whole_weeks(job: Job, table: str, column: str, labels: list[str]) -> DataFrame:
+    """Stored days of the weeks with these labels.
 
     The label joins the first and the last days of a calendar year, so the years are read whole.
     """
     label: Column = iso_yearww(F.col(column))
-    days = job.stored(table)
-    labels = [row[0] for row in days.where(F.col(column) >= F.lit(since)).select(label).distinct().collect()]
     years = sorted({int(name[:4]) for name in labels})
-    return days.where(F.year(column).isin(*years) & label.isin(*labels)) if labels else days.where(F.lit(False))
+    return job.stored(table).where(F.year(column).isin(*years) & label.isin(*labels))
 
 
 def run_gold(job: Job) -> dict[str, DataFrame]:
     """Daily facts of the days the loaded weeks touch, and the facts of all their weeks."""
     hours, made = job.stored("state_hours"), job.stored("wafer_production")
-    first_day = _first_day(job, job.stored("counters_raw"), "counter_date")
-    loaded_states = states.classified_states(job.stored("entity_states_raw"), job.asof)
-    first_state_day = _first_day(job, loaded_states, "state_date")
+    _, since = _first_days(job, "gold")
 
     def stamped(df: DataFrame) -> DataFrame:
         return stamp(df, "calculation_timestamp", job.load_ts)
 
-    # A state that arrives late also completes the production of its day.
-    since = min(first_day, first_state_day)
     recent_made = made.where(F.col("counter_date") >= F.lit(since)).drop("calculation_timestamp")
     recent_hours = hours.where(F.col("state_date") >= F.lit(since)).drop("calculation_timestamp")
-    job.save(stamped(production.daily_production(recent_made, recent_hours)), "fact_daily_production")
-    job.save(stamped(states.daily_state_fact(recent_hours)), "fact_state_hours_daily")
-    produced = _whole_weeks(job, "fact_daily_production", "production_date", since)
-    job.save(stamped(production.weekly_production(produced)), "fact_weekly_production")
-    spent = _whole_weeks(job, "fact_state_hours_daily", "state_date", since)
-    job.save(stamped(states.weekly_state_fact(spent)), "fact_state_hours_weekly")
+    job.replace_days(stamped(production.daily_production(recent_made, recent_hours)), "fact_daily_production", since)
+    job.replace_days(stamped(states.daily_state_fact(recent_hours)), "fact_state_hours_daily", since)
+    for weekly, daily, column, fact in (
+        ("fact_weekly_production", "fact_daily_production", "production_date", production.weekly_production),
+        ("fact_state_hours_weekly", "fact_state_hours_daily", "state_date", states.weekly_state_fact),
+    ):
+        labels = _weeks_since(job, daily, column, weekly, since)
+        rows = fact(_whole_weeks(job, daily, column, labels))
+        job.replace(stamped(rows), weekly, F.col("YEARWW").isin(*labels))
+    _done(job, "gold")
     facts = [table for table in PARTITIONS if table.startswith("fact_")]
     return {table: df for table in facts if (df := read_table(job.spark, job.path(table))) is not None}
 

@@ -1,4 +1,4 @@
-"""Parquet tables: read, append, replace, upsert, truncate, count.
+"""Parquet tables: read, append, replace as a whole or by partition, upsert, truncate, count.
 
 Tables are partitioned by a week or date column and sorted by tool inside each file, so that both a
 time range and a tool are found through partition pruning and column statistics.
@@ -100,7 +100,7 @@ def upsert(
     if partition_by not in keys:
         raise ValueError(f"partition column {partition_by!r} must be one of the keys {list(keys)}")
     order = list(order_by) or [F.lit(0)]
-    new = cut_lineage(df)
+    new = staged(df, path)
     # The list of partitions a write touches is held by the driver in any case: it commits them.
     touched = [row[0] for row in new.select(partition_by).distinct().collect()]
     if not touched:
@@ -114,6 +114,41 @@ def upsert(
     return _write(merged, path, "overwrite", "dynamic", partition_by, sort_by)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: str, replaced: Column, sort_by: Sequence[str] = ()
+) -> int:
+    """Store rows as the whole content of their partitions.
+
+    ``replaced`` is a condition on the partition column: stored partitions that meet it and get no row are emptied, so
+    that rows which a new computation no longer has do not stay.  All other partitions are left alone, and not read.
+    New rows are written before old partitions are emptied; running it again after a failure completes it.
+    """
+    spark = df.sparkSession
+    new = staged(df, path)
+    got = {str(row[0]) for row in new.select(partition_by).distinct().collect()}
+    stored = read_table(spark, path, merge_schema=True)
+    # Like the partitions of a write, these are held by the driver: one value per emptied day or week.
+    held = [] if stored is None else [row[0] for row in stored.where(replaced).select(partition_by).distinct().collect()]
+    written = _write(new, path, "overwrite", "dynamic", partition_by, sort_by) if got else 0
+    for value in held:
+        if str(value) not in got:
+            nothing = spark.createDataFrame([], stored.drop(partition_by).schema)
+            nothing.write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
+    return written
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """The rows computed once, before a write to ``path`` that looks at them several times or overwrites what they read.
+
+    They are kept in the cluster's checkpoint folder (``spark.checkpoint.dir``), or without one in a folder beside the
+    table, which the next write to the table replaces.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    df.write.mode("overwrite").parquet(f"{path}_staged")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}_staged")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as stored in the cluster's checkpoint folder, so that they are computed once.
 

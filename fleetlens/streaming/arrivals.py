@@ -12,9 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens import params
-from fleetlens.plans.layers import Job
-from fleetlens.sources import csv_files
+from fleetlens.plans.layers import Job, load_counters, load_states  # noqa: F401
 
 _ARRIVAL = "path string, modificationTime timestamp, length long, content binary"
 
@@ -26,21 +24,8 @@ def _arrived_weeks(batch: DataFrame) -> DataFrame:
     return weeks.select("ww", (-F.replace("ww", F.lit("WW"), F.lit("")).cast("bigint")).alias("rank"))
 
 
-def load_states(job: Job, weeks: DataFrame) -> None:
-    loaded = csv_files.read_states(job.spark, csv_files.discover_state_files(job.spark, job.source, weeks), job.load_ts)
-    keys = params.NATURAL_KEYS["entity_states_raw"]
-    job.save(csv_files.keep_last_loaded(loaded.rows, keys, job.prefer), "entity_states_raw")
-
-
-def load_counters(job: Job, weeks: DataFrame) -> None:
-    files = csv_files.discover_counter_files(job.spark, job.source, weeks)
-    loaded = csv_files.read_counters(job.spark, files, job.load_ts)
-    keys = params.NATURAL_KEYS["counters_raw"]
-    job.save(csv_files.keep_last_loaded(loaded.rows, keys, job.prefer), "counters_raw")
-
-
 def start(
-    job: Job, pattern: str, load: Callable[[Job, DataFrame], None], checkpoint: str, available_now: bool = True
+    job: Job, pattern: str, load: Callable[[Job, DataFrame], object], checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Watch ``source/*/pattern``; ``load`` is ``load_states`` or ``load_counters``.
 
