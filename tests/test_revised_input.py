@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from files import STATE_HEADER, rows, write_csv
@@ -95,10 +96,10 @@ def test_a_day_at_the_edge_of_the_window_keeps_its_hours(spark, tmp_path, monkey
 
 @pytest.mark.parametrize("first", [1, -1])
 def test_history_told_twice_is_decided_by_the_week(spark, first):
-    told = [("T", "F|T", dt.date(2025, 12, 2), 100, 1), ("T", "F|T", dt.date(2025, 12, 2), 200, 2)]
+    told = [("T", "F|T", dt.date(2025, 12, 2), Decimal(100), 1), ("T", "F|T", dt.date(2025, 12, 2), Decimal(200), 2)]
     columns = "ENTITY string, FAB_ENTITY string, counter_date date, FocusCounter decimal(18,2), week int"
     history = spark.createDataFrame(told[::first], columns).coalesce(1)
-    recent = spark.createDataFrame([("T", "F|T", dt.date(2025, 12, 9), 500, 3)], columns)
+    recent = spark.createDataFrame([("T", "F|T", dt.date(2025, 12, 9), Decimal(500), 3)], columns)
     hours = spark.createDataFrame([], "ENTITY string, state_date date, running_hours decimal(10,2)")
     for ties, before in (([-F.col("week")], 100), ([F.col("week")], 200)):
         made = incremental_production(recent, history, hours, dt.date(2025, 12, 9), ties=ties)
