@@ -1,12 +1,13 @@
 """Main text of HTML pages: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering.
 
 1.  The standard library's parser reads a page as a stream of events.  Block elements end a *line*; a line has its text and
-    the number of tags in it.  Elements that never hold content are left out with all they contain: by name (scripts, styles,
-    forms, navigation, ...) or by a word of their class, id or role (menu, sidebar, cookie, advert, comments, ...).
+    the number of tags in it.  What shows no text (scripts, styles, controls, ...) is left out.  Elements whose name or a word
+    of whose class, id or role says that they are no content (forms, navigation, menu, sidebar, cookie, advert, comments, ...)
+    are left out with all they contain, unless they contain an `article` or `main` or most of the text of all clusters (2.).
 2.  A line's ratio is its characters, without spaces, per tag.  Ratios are smoothed over neighbouring lines by a Gaussian kernel;
     lines whose smoothed ratio reaches the page's threshold (its standard deviation, at most its mean) are content clusters.
-3.  The clusters select the region: the innermost `article` or `main`, else the innermost element, that holds at least
-    `MAJORITY` of the clusters' text.  All its lines are the result, so that short lines between long ones aren't lost.
+3.  The clusters select the region: the outermost `article` or `main`, else the innermost container, that holds all of them.
+    All its lines are the result, so that neither a cluster nor short lines between, before and after long ones are lost.
 
 White space inside a line is one space, lines are joined by one space.  Null, empty and textless pages give an empty text;
 repeated pages give repeated rows.  Unclosed elements end with their parent; stray end tags are ignored.
@@ -31,12 +32,14 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rt rp s samp small span strike "
     "strong sub sup time tt u var wbr img br".split()
 )
-NEVER = frozenset(
-    "head script style noscript template nav footer aside form button select option textarea iframe object svg canvas video "
-    "audio map dialog menu".split()
-)
+NEVER = frozenset("head script style noscript template button select option textarea iframe object svg canvas video audio map".split())
+#: Left out, unless the text says otherwise.
+SELDOM = frozenset("nav footer aside form dialog menu".split())
+#: Elements that can be the region: a single paragraph, list, table, quotation or section can hold all clusters, but what holds it
+#: is the region.
+CONTAINERS = frozenset(["", "html", "body", "div", "article", "main", "center"])
 #: They open a line of their own only at these names if an element of the same name is open.
-SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+SELF_CLOSING = {"body": {"head"}, "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SCOPES = frozenset("ul ol dl table body article main section div td th".split())
 _P_ENDERS = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section "
@@ -52,11 +55,13 @@ NO_CONTENT = re.compile(
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Standard deviation of the smoothing kernel, in lines.
 SIGMA = 1.0
-MAJORITY = 0.8
+
+#: Pieces of a line's text with the number of the element they stand in, tags, and the number of the element the line ends in.
+Line = tuple[list[tuple[str, int]], int, int]
 
 
 class _Reader(HTMLParser):
-    """Lines (text, tags, number of the element they end in) outside of what is never content.
+    """Lines outside of what is never content, and the numbers of the elements that seldom are (`doubtful`).
 
     Elements are numbered as they begin, so an element's descendants are the numbers up to its `last` one.
     """
@@ -66,14 +71,14 @@ class _Reader(HTMLParser):
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # name, number, left out
         self.open_names: Counter[str] = Counter()
         self.names, self.parents, self.last = [""], [0], [0]
-        self.lines: list[tuple[str, int, int]] = []
-        self.parts: list[str] = []
+        self.doubtful: list[int] = []
+        self.lines: list[Line] = []
+        self.parts: list[tuple[str, int]] = []
         self.tags = 0
 
     def _end_line(self):
-        text = " ".join("".join(self.parts).split())
-        if text:
-            self.lines.append((text, self.tags, self.open[-1][1]))
+        if any(not part.isspace() for part, _ in self.parts):
+            self.lines.append((self.parts, self.tags, self.open[-1][1]))
         self.parts, self.tags = [], 0
 
     def _close(self, index: int):
@@ -97,7 +102,7 @@ class _Reader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((" ", self.open[-1][1]))
         if tag in VOID:
             if tag == "hr":
                 self._end_line()
@@ -106,11 +111,13 @@ class _Reader(HTMLParser):
         if tag not in INLINE:
             self._implied_end(tag)
             self._end_line()
-        out = self.open[-1][2] or tag in NEVER
-        if tag == "header" and not out:  # a page's own; that of an article holds its title
-            out = not (self.open_names["article"] or self.open_names["main"])
-        if attrs and not out:
-            out = self._named_out(tag, dict(attrs))
+        named = dict(attrs)
+        out = self.open[-1][2] or tag in NEVER or "hidden" in named
+        seldom = tag in SELDOM
+        if tag == "header":  # a page's own; that of an article holds its title
+            seldom = not (self.open_names["article"] or self.open_names["main"])
+        if not out and (seldom or named and self._named_out(tag, named)):
+            self.doubtful.append(len(self.names))
         self.parents.append(self.open[-1][1])
         self.open.append((tag, len(self.names), out))
         self.open_names[tag] += 1
@@ -120,7 +127,7 @@ class _Reader(HTMLParser):
 
     @staticmethod
     def _named_out(tag: str, named: dict[str, str | None]) -> bool:
-        if (named.get("role") or "").lower() in ROLES or "hidden" in named:
+        if (named.get("role") or "").lower() in ROLES:
             return True
         words = f"{named.get('class') or ''} {named.get('id') or ''}"
         return tag not in ("html", "body", "article", "main") and bool(NO_CONTENT.search(words))
@@ -144,7 +151,7 @@ class _Reader(HTMLParser):
 
     def handle_data(self, data):
         if not self.open[-1][2]:
-            self.parts.append(data)
+            self.parts.append((data, self.open[-1][1]))
 
     def finish(self):
         self.close()
@@ -167,6 +174,29 @@ def content_lines(lines: list[tuple[str, int, int]]) -> np.ndarray:
     return smooth >= min(smooth.std(), smooth.mean())
 
 
+def _sums(page: _Reader, weight: list[int]) -> list[int]:
+    """The weights of elements with those of all they contain."""
+    for number in range(len(weight) - 1, 0, -1):  # children come after their parents
+        weight[page.parents[number]] += weight[number]
+    return weight
+
+
+def _left_out(page: _Reader) -> list[bool]:
+    """By element, whether it is left out: doubtful ones without an article, main or most of the clusters' text, and all inside."""
+    weight, marked = [0] * len(page.names), [int(name in ("article", "main")) for name in page.names]
+    texts = [(" ".join("".join(part for part, _ in parts).split()), tags, number) for parts, tags, number in page.lines]
+    for (parts, _, _), chosen in zip(page.lines, content_lines(texts)):
+        for part, number in parts:
+            weight[number] += len("".join(part.split())) * bool(chosen)
+    weight, marked = _sums(page, weight), _sums(page, marked)
+    out = [False] * len(page.names)
+    for number in page.doubtful:
+        out[number] = not marked[number] and 2 * weight[number] <= weight[0]
+    for number in range(1, len(out)):
+        out[number] |= out[page.parents[number]]
+    return out
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -175,18 +205,23 @@ def main_text(html: str | None) -> str:
     page.finish()
     if not page.lines:
         return ""
+    out = _left_out(page)
+    lines = []
+    for parts, tags, number in page.lines:
+        text = " ".join("".join(part for part, of in parts if not out[of]).split())
+        if text:
+            lines.append((text, tags, number))
+    if not lines:
+        return ""
     weight = [0] * len(page.names)
-    for (text, _, number), chosen in zip(page.lines, content_lines(page.lines)):
-        weight[number] += len(text) * bool(chosen)
-    for number in range(len(weight) - 1, 0, -1):  # children come after their parents
-        weight[page.parents[number]] += weight[number]
-    holders = [number for number, of in enumerate(weight) if of >= MAJORITY * weight[0]]
+    for (_, _, number), chosen in zip(lines, content_lines(lines)):
+        weight[number] += bool(chosen)
+    weight = _sums(page, weight)
+    holders = [number for number, of in enumerate(weight) if of == weight[0]]
     marked = [number for number in holders if page.names[number] in ("article", "main")]
-    # A single paragraph can hold most of the text; what holds it is the region.
-    whole = [number for number in holders if page.names[number] not in INLINE and page.names[number] not in ("p", "li")]
-    # Elements that hold the majority lie inside each other: the last one is the innermost.
-    region = max(marked or whole)
-    return " ".join(text for text, _, number in page.lines if region <= number <= page.last[region])
+    # Elements that hold all clusters lie inside each other: the first one is the outermost.
+    region = min(marked) if marked else max(number for number in holders if page.names[number] in CONTAINERS)
+    return " ".join(text for text, _, number in lines if region <= number <= page.last[region])
 
 
 def extract(pages: DataFrame) -> DataFrame:

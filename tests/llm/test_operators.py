@@ -271,6 +271,24 @@ def test_main_text():
     assert len(html_text.main_text("<div>x" * 20000)) > 30000
 
 
+def test_main_text_keeps_all_clusters_and_looks_into_named_elements():
+    words = lambda n, w: " ".join(f"{w}{i}" for i in range(n))
+    lead, body, end = words(12, "lead"), words(120, "body"), words(10, "end")
+    quote = f"<blockquote><p>{body}</p><p>{body}</p></blockquote>"
+    # Clusters outside an element with 80% of their text.
+    assert html_text.main_text(f"<div><div class=lead>{lead}</div><div class=body><p>{body}</p></div></div>") == f"{lead} {body}"
+    assert html_text.main_text(f"<div><h1>Title</h1><p>{lead}</p>{quote}<p>{end}</p></div>") == f"Title {lead} {body} {body} {end}"
+    assert html_text.main_text(f"<main><h1>Title</h1><p>by<p>me<p>now<article><p>{body}<p>{body}</article></main>").startswith("Title")
+    # Elements named like no content that hold it: most of the text, or the article.
+    for start, stop in (("<div class='with-sidebar'>", "</div>"), ("<form id=page>", "</form>"), ("<span class=share>", "</span>")):
+        assert html_text.main_text(f"{start}<p>{body}</p>{stop}<p>tail</p>") == f"{body} tail"
+    layout = f"<div id=search-page><article><p>{end}</p></article><div class=comments>{lead}</div></div><p>{lead}</p>"
+    assert html_text.main_text(layout) == f"{end} {lead}"
+    # Those that don't are still left out.
+    assert html_text.main_text(f"<p>{body} <b class=advert>Buy</b></p><nav>{lead}</nav><div hidden>{body}</div>") == body
+    assert html_text.main_text(f"<head><title>T</title><body><p>{body}") == body
+
+
 # --- decontamination --------------------------------------------------------------------------------------------------
 
 
