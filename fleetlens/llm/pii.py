@@ -1,14 +1,15 @@
 """Personal data in texts: known forms, and terms that give protected entities away; Spark expressions only.
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers (Luhn) and phone numbers.  Their values are the protected
-*entities*.  The terms (words) next to an entity are candidates for disclosure: even with the entity masked, a term that
-occurs with it and hardly anywhere else reveals it.  Over the whole corpus,
+*entities*.  The terms (words) of a document with an entity are candidates for disclosure: even with the entity masked, a term
+that occurs with it and hardly anywhere else reveals it, wherever it stands.  Over the whole corpus,
 
-    p(e|t) = documents in which t stands next to e / documents that contain t,
+    p(e|t) = documents that contain t and e / documents that contain t,
     bits(t, e) = log2(p(e|t) / p(e)),    p(e) = documents that contain e / documents,
 
-and a term is generalised next to e if p(e|t) >= `share`, bits >= `bits`, and at least `support` different contexts show it:
-copies of one passage are one context, so they alone make no term revealing.
+and a term is generalised in every document if p(e|t) >= `share`, bits >= `bits`, and documents with at least `support` different
+contexts show it.  A context is what stands around the entity, and the term's neighbours: copies of one text or passage have one
+context, so they alone make no term revealing.
 
 Spans are found per document (doc_id and a hash of the text); rows that agree in both share them.
 
@@ -31,8 +32,10 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 TERM = r"[\p{L}\p{N}]{2,}+"
-#: Characters before and after an entity that are its context.
+#: Characters before and after an entity that tell copies of one passage from others; terms are sought in whole documents.
 CONTEXT = 60
+#: Flagged terms up to which every task gets all of them; more are joined by key.
+SHARED_TERMS = 100_000
 
 
 def _digits(value: Column) -> Column:
@@ -71,7 +74,7 @@ def _entity(kind: Column, value: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, `base` spans (start, kind, end, value) in order, and the `contexts` of each; without the text."""
+    """doc_id, text_hash, `base` spans (start, kind, end, value) in order, and entity and context of each (`contexts`); without the text."""
     text = F.col("text")
     none = F.array().cast("array<string>")
     rows = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")).select(
@@ -96,34 +99,23 @@ def scan(docs: DataFrame) -> DataFrame:
 def _context(span: Column) -> Column:
     low = F.greatest(span["start"] - CONTEXT, F.lit(0))
     high = F.least(span["end"] + CONTEXT, F.char_length("text").cast("long"))
-    return F.struct(
-        _entity(span["kind"], span["value"]).alias("entity"),
-        low.alias("low"),
-        (low > 0).alias("cut_left"),
-        (high < F.char_length("text")).alias("cut_right"),
-        F.substring(F.col("text"), (low + 1).cast("int"), (high - low).cast("int")).alias("around"),
-    )
-
-
-def _terms(scanned: DataFrame) -> DataFrame:
-    """One row per entity and term next to it: doc_id, text_hash, entity, context (a hash), term, start, end.
-
-    Terms that the edge of the context may cut don't count, nor do parts of base spans.
-    """
-    rows = scanned.select("doc_id", "text_hash", "base", F.explode("contexts").alias("c"))
-    rows = rows.select("doc_id", "text_hash", "base", "c.*").withColumn("found", all_matches(F.col("around"), TERM))
-    rows = rows.withColumn("terms", placed(F.col("around"), F.col("found"), TERM, 4))
-    whole = F.filter(
-        "terms",
-        lambda t: (~F.col("cut_left") | (t["start"] > 0))
-        & (~F.col("cut_right") | (t["end"] < F.char_length("around")))
-        & ~F.exists("base", lambda b: (b["start"] < t["end"] + F.col("low")) & (t["start"] + F.col("low") < b["end"])),
-    )
-    rows = rows.select("doc_id", "text_hash", "entity", "low", F.xxhash64("around").alias("context"), F.explode(whole).alias("t"))
-    start, end = F.col("t.start") + F.col("low"), F.col("t.end") + F.col("low")
-    return rows.select(
-        "doc_id", "text_hash", "entity", "context", F.lower("t.value").alias("term"), start.alias("start"), end.alias("end")
+    around = F.substring(F.col("text"), (low + 1).cast("int"), (high - low).cast("int"))
+    return F.struct(_entity(span["kind"], span["value"]).alias("entity"), F.xxhash64(around).alias("around"))
+
+
+def _terms(texts: DataFrame) -> DataFrame:
+    """(text_hash, term, beside): the terms of each text outside of its base spans, and a hash of the neighbours of one place."""
+    # Without the names of kinds, so that these are no terms.
+    rows = texts.select("text_hash", F.lower(redacted(F.col("text"), F.col("base"), [""] * len(KINDS))).alias("text"))
+    rows = rows.select("text_hash", all_matches(F.col("text"), TERM).alias("words"))
+    beside = F.transform(
+        "words",
+        lambda word, i: F.struct(
+            word.alias("term"), F.xxhash64(F.get("words", i - 1), F.get("words", i + 1)).alias("beside")
+        ),
     )
+    rows = rows.select("text_hash", F.explode(F.array_distinct(beside)).alias("t")).select("text_hash", "t.*")
+    return rows.groupBy("text_hash", "term").agg(F.min("beside").alias("beside"))
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
@@ -133,20 +125,62 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 
 def revealing(docs: DataFrame, scanned: DataFrame, share: float, bits: float, support: int) -> DataFrame:
-    """The (entity, term) pairs whose term reveals the entity."""
-    documents = docs.count()
-    terms = _terms(scanned)
+    """The (entity, term) pairs whose term reveals the entity.
+
+    Equal texts are one text of so many documents.  Before texts and terms meet, entities and terms go that no pair can have.
+    """
+    documents = max(docs.count(), 1)
+    texts = scanned.where(F.size("base") > 0).groupBy("text_hash").agg(
+        F.count(F.lit(1)).alias("n"), F.first("base").alias("base"), F.first("contexts").alias("contexts")
+    )
+    texts = checkpointed(texts)
+    held = texts.select("text_hash", "n", F.explode("contexts").alias("c")).select("text_hash", "n", "c.*")
+    held = held.groupBy("text_hash", "n", "entity").agg(F.min("around").alias("around"))
+    entities = held.groupBy("entity").agg(F.sum("n").alias("entity_docs"), F.count(F.lit(1)).alias("texts"))
+    # p(e|t) is 1 at most, and a text has one context of a pair.
+    entities = entities.where((F.col("texts") >= support) & (-F.log2(F.col("entity_docs") / F.lit(documents)) >= bits))
+    held = checkpointed(held.join(entities.select("entity", "entity_docs"), "entity"))
+
+    wanted = texts.join(held.select("text_hash"), "text_hash", "left_semi").select("text_hash", "n", "base")
+    content = docs.select(F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash"), docs["text"].alias("text"))
+    content = content.join(wanted.select("text_hash"), "text_hash", "left_semi")
+    content = content.groupBy("text_hash").agg(F.first("text").alias("text"))
+    terms = checkpointed(_terms(content.join(wanted, "text_hash")))
+    # In the documents of all entities together a term must have its share, too.
+    able = terms.join(wanted.select("text_hash", "n"), "text_hash").groupBy("term").agg(
+        F.sum("n").alias("docs"), F.count(F.lit(1)).alias("texts")
+    )
+    able = able.where(F.col("texts") >= support).join(document_frequencies(docs), "term")
+    able = checkpointed(able.where(F.col("docs") >= F.col("df") * share).select("term", "df"))
+
+    pairs = terms.join(able.select("term"), "term", "left_semi").join(held, "text_hash")
     # Documents per context first: a context that thousands of copies share becomes one row before it is counted.
-    seen = terms.groupBy("entity", "term", "context", "doc_id", "text_hash").agg(F.lit(1).alias("one"))
-    seen = seen.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("docs"))
-    seen = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("docs").alias("docs"))
-    seen = seen.where(F.col("contexts") >= support)
-    entities = scanned.select("doc_id", "text_hash", F.explode(F.array_distinct("contexts.entity")).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
-    pairs = seen.join(document_frequencies(docs), "term").join(entities, "entity")
+    seen = pairs.groupBy("entity", "entity_docs", "term", F.xxhash64("around", "beside").alias("context"))
+    seen = seen.agg(F.sum("n").alias("docs"))
+    seen = seen.groupBy("entity", "entity_docs", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("docs").alias("docs"))
+    seen = seen.where(F.col("contexts") >= support).join(able, "term")
     given = F.least(F.col("docs"), F.col("df")) / F.col("df")
-    gain = F.log2(given / (F.col("entity_docs") / F.lit(max(documents, 1))))
-    return pairs.where((given >= share) & (gain >= bits)).select("entity", "term")
+    gain = F.log2(given / (F.col("entity_docs") / F.lit(documents)))
+    return seen.where((given >= share) & (gain >= bits)).select("entity", "term")
+
+
+def _marked(docs: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(added_id, added_hash, added): the places of flagged terms in all documents that have any."""
+    rows = docs.select(docs["doc_id"].alias("added_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("added_hash"), docs["text"].alias("text"))
+    terms = checkpointed(flagged.select("term").distinct())
+    count = terms.count()
+    if count <= SHARED_TERMS:
+        terms = F.broadcast(terms)
+    words = rows.select("added_id", "added_hash", F.explode(F.array_distinct(all_matches(F.col("text"), TERM))).alias("word"))
+    words = words.join(terms, F.lower("word") == F.col("term")).groupBy("added_id", "added_hash").agg(F.collect_set("word").alias("words"))
+    # As they are spelt in this document; terms consist of letters and digits.
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join("words", "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    words = words.select(F.col("added_id").alias("id"), F.col("added_hash").alias("hash"), pattern.alias("pattern"))
+    same = rows["added_id"].eqNullSafe(words["id"]) & (rows["added_hash"] == words["hash"])
+    # Repeated rows of an id have one text: one of them is enough.
+    found = rows.join(words, same).groupBy("added_id", "added_hash").agg(F.first("text").alias("text"), F.first("pattern").alias("pattern"))
+    matches = F.regexp_extract_all("text", F.col("pattern"), F.lit(0))
+    return found.select("added_id", "added_hash", placed(F.col("text"), matches, F.col("pattern"), KINDS.index("term")).alias("added"))
 
 
 def find_personal_data(docs: DataFrame, share: float = 0.5, bits: float = 4.0, support: int = 2) -> DataFrame:
@@ -155,16 +189,12 @@ def find_personal_data(docs: DataFrame, share: float = 0.5, bits: float = 4.0, s
     The scan runs once; what it found is checkpointed without the texts.
     """
     scanned = checkpointed(scan(docs))
-    flagged = checkpointed(revealing(docs, scanned, share, bits, support))
-    span = F.struct(F.col("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("end"), F.col("term").alias("value"))
-    # One row per place, then the places of one document (bounded by its text).
-    places = _terms(scanned).join(flagged, ["entity", "term"]).groupBy("doc_id", "text_hash", "start", "end").agg(
-        F.min("term").alias("term")
-    )
-    added = places.groupBy("doc_id", "text_hash").agg(F.collect_list(span).alias("added"))
-    added = added.withColumnsRenamed({"doc_id": "added_id", "text_hash": "added_hash"})
+    added = _marked(docs, revealing(docs, scanned, share, bits, support))
     same = scanned["doc_id"].eqNullSafe(added["added_id"]) & (scanned["text_hash"] == added["added_hash"])
-    spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(in_order(F.col("base"), F.col("added").cast(SPAN)))
+    # Parts of base spans are masked already.
+    free = F.filter("added", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    free = F.transform(free, lambda t: F.struct(t["start"], t["kind"], t["end"], F.lower(t["value"]).alias("value")))
+    spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(in_order(F.col("base"), free.cast(SPAN)))
     return scanned.join(added, same, "left").select("doc_id", "text_hash", "base", spans.alias("spans"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 SPAN = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
-def placed(text: Column, found: Column, pattern: str, kind: int) -> Column:
+def placed(text: Column, found: Column, pattern: str | Column, kind: int) -> Column:
     """Spans (start, kind, end, value) of the leftmost non-overlapping matches.
 
     `found` is what all_matches() gives for the same text and pattern; the gaps between matches give their places.

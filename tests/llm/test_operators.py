@@ -186,6 +186,23 @@ def test_revealing_terms_are_generalised(spark, odd, empty):
     assert pii.digest(pii.find_personal_data(empty)).count() == 0
 
 
+def test_revealing_terms_are_sought_in_whole_documents(spark):
+    chooser = random.Random(9)
+    filler = [f"filler{i}" for i in range(60)]
+    words = lambda k: " ".join(chooser.choices(filler, k=k))
+    # The name stands far away from the entity, twice, in other spelling, and in a document without the entity.
+    texts = [f"Zanzibar {words(40)} ZANZIBAR {words(40)} jo@x.org {words(9)}" for _ in range(4)] + [f"{words(20)} (zanzibar) {words(20)}"]
+    # Copies of a passage, in different documents, show it once; an address is no term.
+    texts += [f"{words(30)} alpha beta gamma Copied {words(0)} delta epsilon zeta passage eta theta iota kappa lambda me@y.org mu nu xi omicron rho sigma tau upsilon phi chi psi omega {words(30)}" for _ in range(3)]
+    texts += [words(30) for _ in range(200)]
+    made = {r.doc_id: r.text for r in pii.sanitised(docs_of(spark, texts)).collect()}
+    for i in range(4):
+        assert made[i] == texts[i].replace("Zanzibar", "[TERM]").replace("ZANZIBAR", "[TERM]").replace("jo@x.org", "[EMAIL]")
+    assert "([TERM])" in made[4]
+    assert all("Copied" in made[i] and "passage" in made[i] and "[EMAIL]" in made[i] for i in (5, 6, 7))
+    assert all(made[i] == texts[i] for i in range(8, 208))
+
+
 # --- fingerprints -----------------------------------------------------------------------------------------------------
 
 
