@@ -6,11 +6,12 @@ characters.  Under the hypothesis of independent uniform characters of that enco
 over the alphabet, runs of lower and upper half of the alphabet, and serial correlation of neighbours.  Their squared normal
 deviates sum up to one p-value: small for words, paths and identifiers, spread evenly over 0..1 for random strings.
 
-False discoveries are controlled by length: for each length class the histogram of all candidates' p-values in the corpus (a
-table of fixed size) tells how many random strings there are, as the upper half holds little else, and so how many others lie
+False discoveries are controlled by length: for each length class the histogram of the p-values of all distinct candidates in
+the corpus (a table of fixed size) tells how many random strings there are, as the upper half holds little else, and so how many others lie
 above each threshold.  The least threshold that keeps their share below `fdr` counts; there may be none.
 
-A null or empty text has no spans.  Repeated documents give repeated rows; each counts in the histogram.
+A null or empty text has no spans.  Repeated documents give repeated rows.  A string counts once in the histogram, however
+often it occurs; the thresholds hold for all its occurrences.
 """
 
 from __future__ import annotations
@@ -135,7 +136,9 @@ def thresholds(scanned: DataFrame, fdr: float) -> dict[int, int]:
 
     The driver gets one row per length class and bin.
     """
-    cells = scanned.select(F.explode("candidates").alias("c")).groupBy("c.length_class", "c.bin").count().collect()
+    distinct = scanned.select(F.explode("candidates").alias("c"))
+    distinct = distinct.select("c.length_class", "c.bin", F.xxhash64("c.value").alias("value")).distinct()
+    cells = distinct.groupBy("length_class", "bin").count().collect()
     out = {}
     for k in range(len(LENGTHS) + 1):
         counts = [0] * BINS

@@ -157,6 +157,22 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert all(names[i] in clean[i].text for i in range(300))
 
 
+def test_copies_decide_no_thresholds(spark):
+    chooser = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(chooser.choice(letters) for _ in range(40)) for _ in range(200)]
+    names = [f"/usr/local/share/module{i % 7}/component_name_{i}" for i in range(100)]
+    plain = docs_of(spark, keys + names)
+    bins = {r.value: r.bin for r in secrets.scan(plain).selectExpr("inline(candidates)").collect()}
+    want = {r.doc_id: r.spans for r in secrets.digest(secrets.find_secrets(plain)).collect()}
+    # A copied key of the lower half hides no other key, one of the upper half makes no name a secret.
+    for copied in (next(k for k in keys if 3 < bins[k] < 15), next(k for k in keys if bins[k] > 25)):
+        docs = docs_of(spark, keys + names + [copied] * 500)
+        got = {r.doc_id: r.spans for r in secrets.digest(secrets.find_secrets(docs)).collect()}
+        assert {i: got[i] for i in want} == want
+        assert all(got[i] == got[keys.index(copied)] for i in range(300, 800))
+
+
 def test_secrets_on_odd_rows(spark, odd, empty):
     texts = ["token: token=abcdef", "secret:token:abcdefgh", "Password = 'x'", "AKIA" + "A" * 16 + "AKIA1", "f" * 30 + "g" + "0" * 24]
     rows = [tuple(r)[1:4] for r in secrets.digest(secrets.find_secrets(docs_of(spark, texts))).orderBy("doc_id").collect()]
