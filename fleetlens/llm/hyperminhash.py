@@ -97,7 +97,7 @@ def estimate(equal_share: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarra
 
 
 def signatures(docs: DataFrame, words: int, registers: int) -> DataFrame:
-    """(doc_id, n, digest, signature) per document; digest and signature are null for an empty set."""
+    """(doc_id, text_hash, n, digest, signature) per document; digest and signature are null for an empty set."""
     ship(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,12 +109,12 @@ def signatures(docs: DataFrame, words: int, registers: int) -> DataFrame:
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 signed.append(hashed(found).tobytes() if len(found) else None)
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64())]
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64())]
             columns += [pa.array(digests, pa.binary()), pa.array(signed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", "signature"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n", "digest", "signature"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n long, digest binary, signature binary")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"), docs["text"].alias("text"))
+    return rows.mapInArrow(sign, "doc_id long, text_hash long, n long, digest binary, signature binary")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -184,12 +184,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
 
     component_id is the least doc_id that can be reached over links, the document's own included.
     """
+    return _grouped(docs, words, percent, miss).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, words: int, percent: int, miss: float = 1e-6) -> DataFrame:
+    """(doc_id, text_hash, digest, n_shingles, component, component_id) per row; the last two are null without a class with ids.
+
+    Classes are told apart by a hash of their digest, `rep`, as rows of one doc_id may be of several classes.
+    """
     bands = bands_for(percent, miss=miss)
     registers = bands * ROWS
     signed = checkpointed(signatures(docs, words, registers))
 
-    classes = signed.where("digest is not null").groupBy("digest", "n", "signature").agg(F.min("doc_id").alias("rep"))
-    classes = classes.where("rep is not null")
+    classes = signed.where("digest is not null").groupBy("digest", "n", "signature").agg(F.min("doc_id").alias("first"))
+    classes = classes.where("first is not null").withColumn("rep", F.xxhash64("digest"))
     width = 2 * ROWS
     key = F.xxhash64("band", F.expr(f"substring(signature, band * {width} + 1, {width})")).alias("key")
     keyed = classes.select("rep", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")).select("rep", key)
@@ -198,11 +206,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
 
     weights = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     found = checkpointed(classes.join(weights, "rep"))  # classes that share a key; all that follows is about them
-    wanted = found.select(F.col("rep").alias("doc_id"), F.col("digest").alias("wanted"))
+    wanted = found.select(F.col("first").alias("doc_id"), F.col("digest").alias("wanted"), "rep")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     sets = shingle_sets(texts.join(wanted.select("doc_id"), "doc_id", "left_semi"), words)
     sets = checkpointed(
-        sets.join(wanted, "doc_id").where("digest = wanted").select(F.col("doc_id").alias("rep"), "shingles")
+        sets.join(wanted, "doc_id").where("digest = wanted").select("rep", "shingles")
     )
 
     weighted = members.select("key", "rep").join(found.select("rep", "weight"), "rep")
@@ -216,10 +224,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     more = checkpointed(_across(members, hubs, to_hub, found, sets, labels, registers, percent))
     if not more.isEmpty():
         labels = components(edges.union(more))
-    roots = classes.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    roots = checkpointed(roots.select("digest", F.coalesce("component", "rep").alias("component")))
-    return signed.join(roots, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    roots = classes.select("digest", "rep", "first").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    roots = checkpointed(roots)
+    least = roots.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
+    roots = roots.join(least, "component", "left").select(
+        "digest", F.coalesce("component", "rep").alias("component"), F.coalesce("least", "first").alias("component_id")
+    )
+    return signed.join(checkpointed(roots), "digest", "left").select(
+        "doc_id", "text_hash", "digest", F.col("n").alias("n_shingles"), "component", "component_id"
     )
 
 
@@ -280,8 +292,17 @@ def _mixed_keys(placed: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents, with all their columns, of which one stays for each group: that of the least doc_id.
 
-    Of repeated rows of one doc_id one stays; rows without a doc_id stay if no row with one has the same set.
+    Rows of one doc_id may have several texts, each with a group of its own; of rows equal in doc_id and text one stays.  Of rows
+    without a doc_id one stays for each set that no row with one has, and for each text without words.
     """
-    found = near_duplicates(docs, words, percent)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    rows = _grouped(docs, words, percent).where("doc_id is not null or component is null")
+    wordless = F.col("digest").isNull()
+    group = [
+        F.col("component"), F.when(F.col("component").isNull(), F.col("digest")).alias("set"),
+        F.when(wordless, F.col("doc_id")).alias("id"), F.when(wordless, F.col("text_hash")).alias("hash"),
+    ]
+    kept = rows.groupBy(*group).agg(F.min(F.struct("doc_id", "text_hash")).alias("kept")).select("kept.*")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
+    hashed = docs.withColumn("__text_hash", F.xxhash64(docs["text"]))
+    same = hashed["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (hashed["__text_hash"] == kept["kept_hash"])
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")

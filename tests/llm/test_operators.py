@@ -283,6 +283,18 @@ def test_near_duplicates_on_odd_rows(odd, empty):
     assert (1 - 0.85**6) ** bands_for(85) <= 1e-6
 
 
+def test_rows_without_or_with_one_id_are_told_apart(spark):
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcde")
+    near = a.replace("a39", "other")
+    # (id, text, kept): b has the id of a near copy of a; d is known by an id, e and c twice without one.
+    rows = [(1, a, True), (7, near, False), (7, b, True), (7, b, False), (8, d, True), (None, d, False), (None, c, True), (None, c, False)]
+    rows += [(None, e, True), (None, e.upper(), False), (None, "", True), (None, " ", True), (9, "", True), (9, None, True)]
+    docs = spark.createDataFrame([(i, t, "s", "r", "p", 1) for i, t, _ in rows], DOCS)
+    got = sorted(((r.doc_id, r.text and r.text.lower()) for r in without_near_duplicates(docs).collect()), key=str)
+    assert got == sorted(((i, t and t.lower()) for i, t, stays in rows if stays), key=str)
+    assert without_near_duplicates(docs).columns == docs.columns
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
