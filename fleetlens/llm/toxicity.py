@@ -8,10 +8,10 @@ Confirmed toxic texts are the positives; unlabelled text, toxic or not, is all t
 where the bracket is the risk on non-toxic text and can't be negative (if it is estimated so, the step goes uphill there).
 g is linear in the presence of features: words in lower case and their first 4, 5 and 6 letters, hashed.
 
-Samples are bounded: about `max_positive` labelled and `max_unlabelled` other documents by a hash of doc_id, whole texts.
-Spark selects the features that tell; the driver gets these and,
-per sampled document, which of them it has, and the fit (numpy) takes seconds at any size of the corpus.  Every document is
-scored, where it lies.
+Spark counts all features over all positives and all documents outside the held-out fold and selects those that tell.  Only
+the fit has bounded samples: about `max_positive` labelled and `max_unlabelled` other documents by a hash of doc_id, whole
+texts.  The driver gets the selected features and, per sampled document, which of them it has, and the fit (numpy) takes
+seconds at any size of the corpus.  Every document is scored, where it lies.
 
 Cases: an empty, null or wordless text scores sigmoid(bias), as text without evidence; without any positive label every
 score is 0; several labels of a doc_id count as toxic if one is; null labels don't count; repeated rows are scored each.
@@ -145,21 +145,25 @@ def train(
     rows = rows.select("text", F.col("positive").isNotNull().alias("positive"), of_all.alias("unlabelled"), F.xxhash64("doc_id").alias("at"))
     rows = rows.where("positive or unlabelled").mapInArrow(_features, "at long, positive boolean, unlabelled boolean, features array<int>")
     rows = checkpointed(rows)  # as many rows as the samples have, without texts
-    kept = _telling(rows)
+    every = known.where("toxic = 1").select("id", F.lit(True).alias("positive"))
+    every = texts.join(every, F.col("doc_id") == F.col("id"), "left").select("text", F.col("positive").isNotNull().alias("positive"))
+    kept = _telling(every)
     samples = _samples(rows, kept, {"positive": 2 * max_positive, "unlabelled": 2 * max_unlabelled})
     return fit(samples["positive"], samples["unlabelled"], kept, prior)
 
 
-def _telling(rows: DataFrame) -> np.ndarray:
+def _telling(docs: DataFrame) -> np.ndarray:
     """Features that positives have more often than chance explains, by MARGIN standard deviations: at most KEPT of them.
 
-    What positives lack is no evidence against them.
+    What positives lack is no evidence against them.  A task counts its documents (text, positive) before they are shuffled.
     """
-    flags = {"positive": F.col("positive").cast("long"), "unlabelled": F.col("unlabelled").cast("long")}
-    positives, unlabelled = rows.agg(*[F.coalesce(F.sum(flag), F.lit(0)) for flag in flags.values()]).first()
-    counts = rows.select(F.explode("features").alias("feature"), "positive", "unlabelled").groupBy("feature").agg(
-        F.sum(flags["positive"]).alias("p"), F.sum(flags["unlabelled"]).alias("u")
-    )
+    counts = docs.mapInArrow(_counts, "feature long, p long, u long")
+    counts = checkpointed(counts.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")))
+    totals = counts.where(F.col("feature") == SPACE).first()
+    if totals is None:
+        return np.empty(0, np.int64)
+    positives, unlabelled = totals["p"], totals["u"]
+    counts = counts.where(F.col("feature") < SPACE)
     expected = F.lit(positives) * (F.col("u") + 0.5) / F.lit(unlabelled + 1)
     gain = ((F.col("p") - expected) / F.sqrt(expected)).alias("gain")
     best = counts.where("p >= 3").select("feature", gain).where(F.col("gain") >= MARGIN)
@@ -182,6 +186,22 @@ def _samples(rows: DataFrame, kept: np.ndarray, most: dict[str, int]) -> dict[st
     }
 
 
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many positives (p) and documents (u) a feature occurs; as feature SPACE, how many there are."""
+    memo = Memo(features_of)
+    p, u = np.zeros(SPACE + 1, np.int64), np.zeros(SPACE + 1, np.int64)
+    for batch in batches:
+        for text, positive in zip(batch.column("text").to_pylist(), batch.column("positive").to_pylist()):
+            found = {f for word in words_of(text) for f in memo[word]}
+            found.add(SPACE)
+            at = np.fromiter(found, np.int64, len(found))
+            u[at] += 1
+            if positive:
+                p[at] += 1
+    some = np.flatnonzero(u)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(p[some]), pa.array(u[some])], names=["feature", "p", "u"])
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = Memo(features_of)
     for batch in batches:

@@ -116,6 +116,17 @@ def test_toxicity_learns_from_positives_only(spark):
     assert toxicity.without_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxicity_selects_features_from_all_documents(spark, monkeypatch):
+    # A rare kind of toxicity beside a frequent one: few of its documents are in the samples.
+    texts = [f"plain{i % 50} words {'nasty' if i % 4 == 0 else ''} {'vile' if i % 40 == 1 else ''}" for i in range(2000)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0 or i % 40 == 1)) for i in range(2000)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, kept, prior: seen.append(kept) or fit(p, u, kept, prior))
+    toxicity.train(docs_of(spark, texts), labels, max_positive=20, max_unlabelled=40)
+    assert set(toxicity.features_of("vile")) <= set(seen[0]) and set(toxicity.features_of("nasty")) <= set(seen[0])
+
+
 def test_toxicity_without_labels_or_documents(odd, empty, spark):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int").where("doc_id = 1")
     assert [r.score for r in toxicity.scored(odd, toxicity.train(odd, none)).collect()] == [0.0] * odd.count()
