@@ -50,9 +50,50 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+#: The 256 entries of the CRC-32 table, by rule.
+CRC_TABLE = """(SELECT list(c ORDER BY b) AS crc FROM (
+  SELECT b, list_reduce(range(8)::UBIGINT[], lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)), b::UBIGINT) AS c
+  FROM range(256) AS bytes(b)))"""
+
+
+def crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes, where `crc` is the table."""
+    return f"""xor(list_reduce(
+    list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::UBIGINT),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255)::BIGINT + 1]), 4294967295::UBIGINT), 4294967295::UBIGINT)::BIGINT"""
+
+
+SHARDING = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, md5(coalesce(text, '')) AS digest
+  FROM documents
+), sums AS (
+  SELECT digest, min(text) AS text, sum(size) AS weight FROM docs GROUP BY digest
+), items AS (
+  SELECT digest, text, weight, CASE WHEN weight >= (SELECT (sum(weight) + 16383) // 16384 FROM sums) THEN digest
+    ELSE 'bin' || lpad(CAST(('0x' || substr(digest, 1, 8))::UBIGINT % 16384 AS VARCHAR), 8, '0') END AS item
+  FROM sums
+), ranked AS (
+  SELECT item, CAST(sum(weight) AS BIGINT) AS weight, row_number() OVER (ORDER BY sum(weight) DESC, item) AS i FROM items GROUP BY item
+), placed(i, loads, shard) AS (
+  SELECT CAST(0 AS BIGINT), list_transform(range(16), lambda s: CAST(0 AS BIGINT)), CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT r.i, list_transform(loads, lambda load, s: load + CASE WHEN s = list_position(loads, list_min(loads)) THEN weight ELSE 0 END),
+    CAST(list_position(loads, list_min(loads)) AS BIGINT)
+  FROM placed p JOIN ranked r ON r.i = p.i + 1
+), sums_placed AS (
+  SELECT s.digest, CAST(p.shard - 1 AS INTEGER) AS shard, {crc32("s.text")} AS text_crc32
+  FROM items s JOIN ranked r USING (item) JOIN placed p ON p.i = r.i, {CRC_TABLE}
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, digest) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM docs JOIN sums_placed USING (digest)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_chat": CHAT,
         "op9_decontamination": DECONTAMINATION,
+        "op13_sharding": SHARDING,
     }
