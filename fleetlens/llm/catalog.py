@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, html_text, pii, secrets, sentencepieces, sharding, simhash, token_counts, toxicity
+from fleetlens.llm import chat, html_text, pii, secrets, sentencepieces, sharding, simhash, structure_repair, token_counts, toxicity
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
 from fleetlens.llm.hyperminhash import near_duplicates
@@ -91,6 +91,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation's structure, after a damage that its ids decide."""
+    turns = table(spark, sf_dir, "conversations")
+    return structure_repair.report(structure_repair.damaged(turns), ids=turns)
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document and its slot there: equal texts together, bytes near equal."""
     return sharding.digest(sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16))
@@ -108,5 +114,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_main_text": op8_main_text,
         "op9_decontamination": op9_decontamination,
         "op10_personal_data": op10_personal_data,
+        "op11_structure_repair": op11_structure_repair,
         "op13_sharding": op13_sharding,
     }

@@ -90,10 +90,86 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM docs JOIN sums_placed USING (digest)
 """
 
+_UNREACHED = "'~'"
+
+
+def _added(key: str, cost: int, letter: str, more: str = "0") -> str:
+    """A path's key, eight digits of cost and its audit, after one more edit; `least` then picks the best path."""
+    return (
+        f"CASE WHEN {key} = {_UNREACHED} THEN {key} ELSE lpad(CAST(CAST(substr({key}, 1, 8) AS INTEGER) + {cost} + {more} AS VARCHAR), 8, '0')"
+        f" || substr({key}, 9) || '{letter}' END"
+    )
+
+
+def _kept(key: str, initial: str) -> str:
+    return f"CASE WHEN fault IN ('blank', 'duplicate') OR initial <> '{initial}' THEN {_UNREACHED} ELSE {_added(key, 0, 'K', 'open')} END"
+
+
+def _reroled(key: str) -> str:
+    return f"CASE WHEN fault IN ('blank', 'duplicate') THEN {_UNREACHED} ELSE {_added(key, 2, 'R', 'open')} END"
+
+
+_TO_USER = ", ".join(f"{_kept(k, 'u')}, {_reroled(k)}" for k in ("k0", "k1", "k3"))
+
+REPAIR = f"""
+WITH RECURSIVE kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations, {CRC_TABLE}
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))
+  FROM kinds WHERE kind > 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS i,
+    substr(role, 1, 1) AS initial, regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS ending
+  FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed
+), lines AS (
+  SELECT *, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS open FROM judged
+), paths(conv_id, i, k0, k1, k2, k3) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '00000000', {_UNREACHED}, '00000002I', '00000004II' FROM conversations
+  UNION ALL
+  SELECT conv_id, i, k0, k1, least(k2, {_added("k0", 2, "I")}, {_added("k1", 2, "I")}, {_added("k3", 2, "I")}),
+    least(k3, {_added(f"least(k2, {_added('k0', 2, 'I')}, {_added('k1', 2, 'I')}, {_added('k3', 2, 'I')})", 2, "I")})
+  FROM (
+    SELECT p.conv_id, l.i, {_added("k0", 3, "D")} AS k0, least({_added("k1", 3, "D")}, {_kept("k0", "s")}) AS k1,
+      least({_added("k2", 3, "D")}, {_TO_USER}) AS k2, least({_added("k3", 3, "D")}, {_kept("k2", "a")}, {_reroled("k2")}) AS k3
+    FROM paths p JOIN lines l ON p.conv_id IS NOT DISTINCT FROM l.conv_id AND l.i = p.i + 1
+  )
+), ends AS (
+  SELECT conv_id, CAST(substr(key, 1, 8) AS BIGINT) AS cost, substr(key, 9) AS audit FROM (
+    SELECT conv_id, least(k0, k3) AS key, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM paths) WHERE back = 1
+), letters AS (
+  SELECT conv_id, j, letter, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS o,
+    length(replace(audit, 'D', '')) % 2 AS odd
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j, substr(audit, j, 1) AS letter FROM ends)
+  WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), repaired AS (
+  SELECT e.conv_id, e.o, CASE WHEN letter = 'K' THEN role WHEN (o - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+    || CASE WHEN letter = 'I' THEN '' ELSE text END AS line
+  FROM letters e LEFT JOIN lines l ON e.conv_id IS NOT DISTINCT FROM l.conv_id AND e.i = l.i WHERE letter <> 'D'
+), texts AS (
+  SELECT conv_id, string_agg(line, chr(10) ORDER BY o) AS text FROM repaired GROUP BY conv_id
+), faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM lines GROUP BY conv_id
+)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(text, '')) AS repaired_sha256
+FROM ends e LEFT JOIN faults f ON e.conv_id IS NOT DISTINCT FROM f.conv_id LEFT JOIN texts t ON e.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_chat": CHAT,
         "op9_decontamination": DECONTAMINATION,
+        "op11_structure_repair": REPAIR,
         "op13_sharding": SHARDING,
     }
