@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, html_text, pii, secrets, sentencepieces, sharding, simhash, structure_repair, token_counts, toxicity
+from fleetlens.llm import chat, html_text, pii, prefix_trie, secrets, sentencepieces, sharding, simhash, structure_repair, token_counts, toxicity
 from fleetlens.llm.common import table
 from fleetlens.llm.decontaminate import contamination
 from fleetlens.llm.hyperminhash import near_duplicates
@@ -97,6 +97,12 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.report(structure_repair.damaged(turns), ids=turns)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie over all conversations, whose beginnings are crossed first."""
+    turns = prefix_trie.turn_rows(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_nodes(prefix_trie.crossed(turns))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document and its slot there: equal texts together, bytes near equal."""
     return sharding.digest(sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16))
@@ -115,5 +121,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontamination": op9_decontamination,
         "op10_personal_data": op10_personal_data,
         "op11_structure_repair": op11_structure_repair,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_sharding": op13_sharding,
     }

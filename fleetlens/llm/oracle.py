@@ -165,11 +165,41 @@ SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
 FROM ends e LEFT JOIN faults f ON e.conv_id IS NOT DISTINCT FROM f.conv_id LEFT JOIN texts t ON e.conv_id IS NOT DISTINCT FROM t.conv_id
 """
 
+PREFIXES = f"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place, digest, size
+  FROM (SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    strlen(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL)
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), {CRC_TABLE}
+), rebuilt AS (
+  SELECT i.conv_id, t.place, t.digest, t.size FROM ids i JOIN turns t ON t.conv_id = i.base AND t.place <= i.h
+  UNION ALL SELECT i.conv_id, t.place, t.digest, t.size FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.place > i.h
+), members AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS prefix, size, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+  UNION ALL SELECT conv_id, 0, '', 0, (SELECT count(*) FROM rebuilt r WHERE r.conv_id = i.conv_id) FROM ids i
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM members GROUP BY prefix, depth
+), linked AS (
+  SELECT v.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = v.depth + 1 AND starts_with(c.prefix, v.prefix)) AS n_children
+  FROM nodes v LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.prefix = left(v.prefix, 32 * (v.depth - 1))
+)
+SELECT v.conv_id, v.depth, v.parent_conv_id, v.n_convs, v.n_children, count(*) FILTER (x.n_children = 0) AS n_leaves,
+  CAST(sum((x.n_convs - 1) * x.size) AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM linked v JOIN linked x ON starts_with(x.prefix, v.prefix)
+GROUP BY v.conv_id, v.depth, v.parent_conv_id, v.n_convs, v.n_children, v.ends_sha256
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_chat": CHAT,
         "op9_decontamination": DECONTAMINATION,
         "op11_structure_repair": REPAIR,
+        "op12_prefix_trie": PREFIXES,
         "op13_sharding": SHARDING,
     }
