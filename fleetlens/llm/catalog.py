@@ -57,8 +57,8 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text."""
-    return simhash.with_edits(table(spark, sf_dir, "documents"))
+    """Fingerprints of every document and of its edited text; for ids that 50 divides, how many others are near."""
+    return simhash.with_neighbours(simhash.with_edits(table(spark, sf_dir, "documents")), every=50, radius=3)
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

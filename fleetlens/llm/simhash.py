@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
@@ -77,37 +78,38 @@ _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 def with_edits(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness to it and to the next document's.
 
-    The next document is the next one by doc_id, after the last one the first (nulls come first, repeated ids by text).
-    The texts are shuffled once, into ranges of ids, and streamed in order; the first document of a range also goes to the
-    range before it, as what follows that one's last document.
+    The next document is the next one by doc_id (nulls first), then by a hash of the text; after the last one the first.
+    The texts are shuffled once, into ranges in this order, and streamed; a copy of the first document of a range also goes
+    to the range before it, as what follows that one's last document.  Ranges begin at documents that exist, found by a
+    range partitioning of ids and text hashes alone, so rows without an id or with a repeated one are several ranges too.
     """
     ship(docs.sparkSession)
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))).alias("at"),
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("mark"),
         F.coalesce(docs["text"], F.lit("")).alias("text"),
     )
-    count, first = rows.agg(F.count(F.lit(1)), F.min("at")).first()
+    order = checkpointed(rows.select("at", "mark"))
+    count = order.count()
     if not count:
         return docs.sparkSession.createDataFrame([], _EDITED)
     ranges = int(min(MAX_RANGES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // RANGE_ROWS)))
-    shares = [i / ranges for i in range(1, ranges)]
-    # Quantiles are ids that occur, so each is the first document of its range.
-    starts = np.unique(np.array(rows.approxQuantile("at", shares, 0.1 / ranges) if shares else [], np.float64).astype(np.int64))
-    starts = starts[starts > first]
-
-    @pandas_udf("array<int>")
-    def ranges_of(at):
-        own = np.searchsorted(starts, at.to_numpy(), side="right")
-        is_start = np.isin(at.to_numpy(), starts)
-        import pandas as pd
-
-        return pd.Series([[int(k), int(k) - 1] if s else [int(k)] for k, s in zip(own, is_start)])
-
-    placed = rows.select("*", F.posexplode(ranges_of("at")).alias("copy", "range"))
-    # After the last document comes the first one.
-    wrap = rows.where(F.col("at") == first).select("*", F.lit(2).alias("copy"), F.lit(len(starts)).alias("range"))
-    streams = placed.union(wrap).repartition(ranges, "range").sortWithinPartitions("range", "copy", "at", "text")
+    starts = order.repartitionByRange(ranges, "at", "mark").groupBy(F.spark_partition_id()).agg(F.min(F.struct("at", "mark")).alias("first"))
+    starts = sorted(tuple(row["first"]) for row in starts.collect())  # MAX_RANGES at most
+    ats, marks = (np.array(column, np.int64) for column in zip(*starts))
+
+    @pandas_udf("int")
+    def range_of(at, mark):
+        return pd.Series(ranges_of(at.to_numpy(), mark.to_numpy(), ats, marks))
+
+    placed = rows.select("doc_id", "at", "mark", "text", F.lit(0).alias("copy"), range_of("at", "mark").alias("range"))
+    # The document that follows a range, once each.
+    followed = [(at, mark, (k - 1) % len(starts)) for k, (at, mark) in enumerate(starts)]
+    followed = F.broadcast(docs.sparkSession.createDataFrame(followed, "at long, mark long, range int"))
+    firsts = rows.join(followed, ["at", "mark"]).dropDuplicates(["at", "mark"])
+    firsts = firsts.select("doc_id", "at", "mark", "text", F.lit(1).alias("copy"), "range")
+    streams = placed.union(firsts).repartition(len(starts), "range").sortWithinPartitions("range", "copy", "at", "mark", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = hash_memo()
@@ -117,7 +119,9 @@ def with_edits(docs: DataFrame) -> DataFrame:
             names = ("range", "copy", "doc_id", "text")
             for of, copy, doc_id, text in zip(*(batch.column(name).to_pylist() for name in names)):
                 made = None
-                if waiting is not None and waiting[0] == of:
+                if waiting is not None:
+                    if waiting[0] != of:
+                        raise RuntimeError(f"no document follows range {waiting[0]}")
                     made = fingerprint(text, memo)
                     out.append(_row(waiting, text, made, memo))
                     waiting = None
@@ -125,10 +129,23 @@ def with_edits(docs: DataFrame) -> DataFrame:
                     waiting = (of, doc_id, text, made or fingerprint(text, memo))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], schema=_SCHEMA)
+        if waiting is not None:
+            raise RuntimeError(f"no document follows range {waiting[0]}")
 
     return streams.select("range", "copy", "doc_id", "text").mapInArrow(compare, _EDITED)
 
 
+def ranges_of(at: np.ndarray, mark: np.ndarray, ats: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The number of the range of each (at, mark): the last one of the ascending starts (ats, marks) that isn't beyond it."""
+    own = np.searchsorted(ats, at, side="right")
+    several = own - np.searchsorted(ats, at, side="left") > 0  # a range begins within this id
+    for value in np.unique(at[several]):
+        low, high = np.searchsorted(ats, value, side="left"), np.searchsorted(ats, value, side="right")
+        of = at == value
+        own[of] = low + np.searchsorted(marks[low:high], mark[of], side="right")
+    return (own - 1).astype(np.int32)
+
+
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
      ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
@@ -145,15 +162,15 @@ def _row(waiting, following: str, made: bytes, memo: Memo):
     return doc_id, len(text), digest, own.hex(), of_new.hex(), likeness(own, of_new), likeness(own, made)
 
 
-def neighbours(queries: DataFrame, table: DataFrame, radius: int = 3) -> DataFrame:
-    """(query_id, doc_id, distance) for all fingerprints of `table` within `radius` bits of one of `queries`.
+def close_fingerprints(asked: DataFrame, table: DataFrame, radius: int = 3) -> DataFrame:
+    """(asked, fingerprint, distance, copies): the distinct fingerprints of `table` within `radius` bits of one of `asked`.
 
-    Both are (doc_id, fingerprint in hex).  With radius + 1 blocks of bits, two fingerprints within the radius agree in one
-    block at least, so a table permuted to each block first finds all of them.  Equal fingerprints are one entry of it,
-    however many documents have them; matches of entries are found first, and then expanded for the queries only.
+    `asked` has a column asked, `table` a column fingerprint, both in hex.  With radius + 1 blocks of bits, two fingerprints
+    within the radius agree in one block at least, so a table permuted to each block first finds all of them.  Equal
+    fingerprints are one entry, however many documents have them.
     """
     entries = checkpointed(table.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies")))
-    asked = queries.select(F.col("fingerprint").alias("asked")).distinct()
+    asked = asked.select("asked").distinct()
     blocks, digits = radius + 1, BITS // 4
     edges = [round(k * digits / blocks) for k in range(blocks + 1)]
 
@@ -161,14 +178,38 @@ def neighbours(queries: DataFrame, table: DataFrame, radius: int = 3) -> DataFra
         keys = F.array(
             *[F.concat(F.lit(f"{k}:"), F.substring(name, a + 1, b - a)) for k, (a, b) in enumerate(zip(edges, edges[1:]))]
         )
-        return df.select(name, F.explode(keys).alias("block"))
+        return df.select("*", F.explode(keys).alias("block"))
 
     def bits(part: int):
         pieces = [F.conv(F.substring(name, 8 * part + 1, 8), 16, 10).cast("long") for name in ("asked", "fingerprint")]
         return F.bit_count(pieces[0].bitwiseXOR(pieces[1]))
 
     apart = sum((bits(part) for part in range(1, digits // 8)), bits(0))
-    pairs = blocked(asked, "asked").join(blocked(entries.select("fingerprint"), "fingerprint"), "block")
-    pairs = pairs.select("asked", "fingerprint", apart.cast("int").alias("distance")).where(F.col("distance") <= radius).distinct()
-    found = pairs.join(queries.select(F.col("doc_id").alias("query_id"), F.col("fingerprint").alias("asked")), "asked")
+    pairs = blocked(asked, "asked").join(blocked(entries, "fingerprint"), "block")
+    pairs = pairs.select("asked", "fingerprint", apart.cast("int").alias("distance"), "copies")
+    return pairs.where(F.col("distance") <= radius).distinct()
+
+
+def neighbours(queries: DataFrame, table: DataFrame, radius: int = 3) -> DataFrame:
+    """(query_id, doc_id, distance) for all fingerprints of `table` within `radius` bits of one of `queries`.
+
+    Both are (doc_id, fingerprint in hex).  Matches of distinct fingerprints are found first, and then expanded for the
+    queries only.
+    """
+    asked = queries.select(F.col("fingerprint").alias("asked"))
+    found = close_fingerprints(asked, table, radius).join(queries.select(F.col("doc_id").alias("query_id"), F.col("fingerprint").alias("asked")), "asked")
     return found.join(table, "fingerprint").where("query_id <> doc_id").select("query_id", "doc_id", "distance")
+
+
+def with_neighbours(made: DataFrame, every: int = 50, radius: int = 3) -> DataFrame:
+    """`made` (of with_edits) with `n_near`: for documents whose id `every` divides, how many others are within the radius.
+
+    The others are rows of any id, the document's own row left out; null for rows that aren't asked.
+    """
+    made = checkpointed(made)
+    asked = F.col("doc_id") % every == 0
+    found = close_fingerprints(made.where(asked).select(F.col("fingerprint").alias("asked")), made, radius)
+    near = found.groupBy("asked").agg((F.sum("copies") - 1).alias("n_near"))
+    # Rows that aren't asked stay where they are; those that are go to the few fingerprints they ask for.
+    few = made.where(asked).join(near.withColumnRenamed("asked", "fingerprint"), "fingerprint", "left").select(*made.columns, "n_near")
+    return few.union(made.where(~asked | asked.isNull()).withColumn("n_near", F.lit(None).cast("long")))

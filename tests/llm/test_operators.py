@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter as Counted
 
+import numpy as np
 import pytest
+import xxhash
 
 from fleetlens.llm import chat, html_text, pii, secrets, simhash, toxicity
-from fleetlens.llm.common import hash_memo
+from fleetlens.llm.common import hash_memo, mixed
 from fleetlens.llm.components import components
 from fleetlens.llm.decontaminate import SuffixAutomaton, contamination, decontaminate, words_of
 from fleetlens.llm.hyperminhash import bands_for, near_duplicates, without_near_duplicates
@@ -244,6 +248,62 @@ def test_edits_follow_the_order_of_ids(spark, odd, empty):
     assert simhash.with_edits(odd).count() == odd.count() and simhash.with_edits(empty).count() == 0
 
 
+def plain_fingerprint(text):
+    """SimHash by the definition, with the library's hash of a word and of a pair, bit by bit."""
+    words = (text or "").encode().lower().split()
+    spread = lambda x: int(mixed(np.array([x % 2**64], np.uint64))[0])
+    hashes = [xxhash.xxh64_intdigest(word) for word in words]
+    terms = Counted(hashes), Counted((spread(a) + b) % 2**64 for a, b in zip(hashes, hashes[1:]))
+    votes = [0.0] * 128
+    for counts, share in zip(terms, (0.5, 1.0)):
+        for term, count in counts.items():
+            bits = spread(term ^ 0x5851F42D4C957F2D) << 64 | spread(term + 0x14057B7EF767814F)
+            for k in range(128):
+                votes[k] += share * (1 + math.log(count)) * (1 if bits >> (127 - k) & 1 else -1)
+    return f"{sum((vote > 0) << (127 - k) for k, vote in enumerate(votes)):032x}", min(map(abs, votes), default=0)
+
+
+def test_fingerprint_equals_the_plain_votes():
+    chooser = random.Random(9)
+    for _ in range(40):
+        text = " ".join(chooser.choices(["alpha", "Beta", "c", "日本", "delta"], k=chooser.randint(0, 60)))
+        plain, margin = plain_fingerprint(text)
+        assert margin < 1e-4 or simhash.fingerprint(text, hash_memo()).hex() == plain
+
+
+def test_edits_of_large_null_and_repeated_ids(spark):
+    base = 2**60
+    rows = [(base + 3 * i, f"large {i}") for i in range(1500)] + [(None, f"none {i}") for i in range(1000)] + [(5, f"same {i % 700}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    made = simhash.with_edits(docs).collect()
+    assert len(made) == len(rows)
+    got = {r.doc_id: r.edited_sha256 for r in made}
+    for i in range(1499):
+        assert got[base + 3 * i] == hashlib.sha256(simhash.edited(f"large {i}", f"large {i + 1}").encode()).hexdigest()
+    last = {hashlib.sha256(simhash.edited("large 1499", f"none {i}").encode()).hexdigest() for i in range(1000)}
+    assert got[base + 3 * 1499] in last
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ranges_hold_what_lies_between_their_starts(seed):
+    chooser = np.random.default_rng(seed)
+    pairs = sorted({(int(a), int(m)) for a, m in zip(chooser.integers(-3, 3, 60), chooser.integers(-9, 9, 60))})
+    starts = pairs[::4]
+    at, mark = (np.array(x, np.int64) for x in zip(*pairs))
+    found = simhash.ranges_of(at, mark, *(np.array(x, np.int64) for x in zip(*starts)))
+    assert found.tolist() == [sum(s <= p for s in starts) - 1 for p in pairs]
+
+
+def test_neighbours_are_counted(spark):
+    texts = ["a b c d e f g h"] * 5 + [f"other {i} text {i * i}" for i in range(60)] + [None]
+    made = simhash.with_neighbours(simhash.with_edits(docs_of(spark, texts)), every=2).collect()
+    prints = [int(row.fingerprint, 16) for row in made]
+    assert len(made) == len(texts)
+    for row in made:
+        near = sum((int(row.fingerprint, 16) ^ p).bit_count() <= 3 for p in prints) - 1
+        assert row.n_near == (near if row.doc_id % 2 == 0 else None)
+
+
 def test_block_tables_find_all_neighbours(spark):
     chooser = random.Random(5)
     prints = [chooser.getrandbits(128) for _ in range(40)]
