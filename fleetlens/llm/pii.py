@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens.llm.common import checkpointed
-from fleetlens.llm.spans import SPAN, all_matches, as_text, in_order, of_kind, only, placed, redacted
+from fleetlens.llm.spans import SPAN, all_matches, as_text, in_order, of_kind, only, placed, redacted, uncovered
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -192,7 +192,7 @@ def find_personal_data(docs: DataFrame, share: float = 0.5, bits: float = 4.0, s
     added = _marked(docs, revealing(docs, scanned, share, bits, support))
     same = scanned["doc_id"].eqNullSafe(added["added_id"]) & (scanned["text_hash"] == added["added_hash"])
     # Parts of base spans are masked already.
-    free = F.filter("added", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    free = uncovered(F.col("added"), F.col("base"), KINDS.index("term"))
     free = F.transform(free, lambda t: F.struct(t["start"], t["kind"], t["end"], F.lower(t["value"]).alias("value")))
     spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(in_order(F.col("base"), free.cast(SPAN)))
     return scanned.join(added, same, "left").select("doc_id", "text_hash", "base", spans.alias("spans"))

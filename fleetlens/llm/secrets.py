@@ -22,7 +22,7 @@ import operator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens.llm.common import checkpointed
-from fleetlens.llm.spans import SPAN, all_matches, as_text, in_order, of_kind, only, placed, redacted
+from fleetlens.llm.spans import SPAN, all_matches, as_text, in_order, of_kind, only, placed, redacted, uncovered
 
 KINDS = ["assign", "access", "hex", "random"]
 
@@ -120,7 +120,7 @@ def scan(docs: DataFrame) -> DataFrame:
         only(runs, lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")).alias("runs"),
     )
     # What a base span covers is found already.
-    free = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    free = uncovered(F.col("runs"), F.col("base"), KINDS.index("random"))
     tested = F.transform(
         free,
         lambda r: F.struct(
