@@ -18,6 +18,7 @@ from fleetlens.functions.dates import (
     tool_age_days,
     utc_literal,
     utc_time,
+    warranty_start,
 )
 from fleetlens.functions.rules import (
     classify_state,
@@ -37,4 +38,5 @@ __all__ = [
     "fab_entity_key", "fiscal_work_week", "installed_flag", "is_active", "is_replacement",
     "iso_yearww", "normalize_entity", "number_text", "parse_day_shift", "pick_counter",
     "reading_at", "safe_rate", "state_name", "to_int", "tool_age_days", "tool_id", "utc_literal", "utc_time",
+    "warranty_start",
 ]

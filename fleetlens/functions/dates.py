@@ -43,18 +43,25 @@ def counter_date(modified: Column, days: int = params.COUNTER_DATE_SHIFT_DAYS) -
     return F.date_add(F.to_date(modified), days)
 
 
-def parse_day_shift(day_shift: Column, asof: dt.date) -> Column:
+def parse_day_shift(day_shift: Column, asof: dt.date | Column, ahead: str = "kept") -> Column:
     """Date in front of the first dash: ``M/D``, ``M/D/YY`` or ``M/D/YYYY``; anything else is null.
 
-    Two-digit years from 69 on are in the 1900s.  Without a year the year of ``asof`` is taken, and
-    Feb 29 is refused because no year says that it exists.
+    Two-digit years from 69 on are in the 1900s.  Without a year the year of ``asof`` is taken, a date or a date column,
+    and Feb 29 is refused because no year says that it exists.  Such a day may lie ahead of ``asof``, as a day of December
+    does in January; with ``ahead='last_year'`` it is that of the year before.
     """
+    if ahead not in ("kept", "last_year"):
+        raise ValueError(f"ahead must be 'kept' or 'last_year', not {ahead!r}")
     text = F.split_part(day_shift, F.lit("-"), F.lit(1))
     month = F.lpad(F.split_part(text, F.lit("/"), F.lit(1)), 2, "0")
     day = F.lpad(F.trim(F.split_part(text, F.lit("/"), F.lit(2))), 2, "0")
     year = F.split_part(text, F.lit("/"), F.lit(3))
+    known = asof if isinstance(asof, Column) else F.lit(asof)
+    this_year = F.year(known)
+    if ahead == "last_year":
+        this_year = this_year - (F.concat(month, day) > F.date_format(known, "MMdd")).cast("int")
     full_year = (
-        F.when(year == "", F.lit(f"{asof.year:04d}"))
+        F.when(year == "", F.lpad(this_year.cast("string"), 4, "0"))
         .when(F.length(year) == 4, year)
         .when(year >= "69", F.concat(F.lit("19"), year))
         .otherwise(F.concat(F.lit("20"), year))
@@ -87,19 +94,24 @@ _OTHER_DATES = [
 ]
 
 
-def tool_age_days(warranty_start: Column, asof: dt.date) -> Column:
-    """Whole days (rounded down) from ``warranty_start`` to ``asof``; null for a bad or missing date.
+def warranty_start(text: Column) -> Column:
+    """When a warranty began; null for a bad or missing date.
 
     Besides ISO texts, month/day/year (with or without a time), day-month name-year and yyyymmdd are read.
     """
-    start = F.coalesce(
-        warranty_start.try_cast("timestamp_ntz"),
+    shown = text.cast("string")
+    return F.coalesce(
+        text.try_cast("timestamp_ntz"),
         *[
-            F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
-            for text in [warranty_start.cast("string")]
+            F.when(shown.rlike(shape), F.try_to_timestamp(shown, F.lit(pattern)).cast("timestamp_ntz"))
             for shape, pattern in _OTHER_DATES
         ],
     )
+
+
+def tool_age_days(start: Column, asof: dt.date) -> Column:
+    """Whole days (rounded down) from ``warranty_start`` to ``asof``; null for a bad or missing date."""
+    start = warranty_start(start)
     day = start.cast("date")
     started_later = start > day.cast("timestamp_ntz")
     return (F.datediff(F.lit(asof), day) - started_later.cast("int")).cast("bigint")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens import params
-from fleetlens.functions import normalize_entity, state_name
+from fleetlens.functions import normalize_entity, state_name, warranty_start
 from fleetlens.operators.installed_base import tools_with_age
 from fleetlens.operators.states import classified_states, tool_day_hours
 
@@ -126,7 +126,7 @@ def tool_profile(
 ) -> DataFrame:
     """One row: sizes, unreadable warranty dates, range of dates and ages, active and inactive tools."""
     aged = tools_with_age(tools, asof, inactive).withColumn(
-        "start", F.col("Warranty_Start").try_cast("timestamp_ntz").cast("date")
+        "start", warranty_start(F.col("Warranty_Start")).cast("date")
     )
     return aged.agg(
         F.count("*").alias("n_rows"),

@@ -17,19 +17,22 @@ _HOURS = ["running_hours", "idle_hours", "down_hours", "bagged_hours", "total_ho
 
 def classified_states(
     states: DataFrame,
-    asof: dt.date,
+    asof: dt.date | Column,
     running: Sequence[str] = params.RUNNING_STATES,
     idle: Sequence[str] = params.IDLE_STATES,
     bagged: str = params.BAGGED_STATE,
+    ahead: str = "kept",
 ) -> DataFrame:
     """Add ``state_date`` and ``state_category``; rows whose date cannot be read are dropped.
 
+    A day without a year is one of the year of ``asof``, which for stored rows is the day they were loaded (a column).
+
     Dropping them by an explode of one date or none keeps the parsing in one place.  A filter would be
     moved below earlier steps, and parse every text there once more.
     """
     dated = states.withColumns(
         {
-            "_date": parse_day_shift(F.col("DAY_SHIFT"), asof),
+            "_date": parse_day_shift(F.col("DAY_SHIFT"), asof, ahead),
             "state_category": classify_state(F.col("ENTITY_STATE"), running, idle, bagged),
         }
     )

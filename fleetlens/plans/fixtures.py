@@ -46,16 +46,22 @@ FROM (
     sum(CASE WHEN event_type = 'signup'   THEN cast(value * 10 AS decimal(18,2)) END) AS p
   FROM {events} GROUP BY user_id, cast(ts AS date)) d
 WINDOW w AS (PARTITION BY user_id ORDER BY counter_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-    # Installed tools; every tenth tool is listed under two configurations.
+    # Installed tools, their dates in several forms; every tenth tool is listed under two configurations.
     "fx_tools": """
 SELECT k, ENTITY, Location, CASE WHEN k % 29 = 0 THEN NULL ELSE Three_CEID END AS Three_CEID,
   CASE WHEN k % 23 = 0 THEN 'n/a' ELSE cast(n % 5 AS string) END AS Process_Node,
   CASE WHEN k % 7 = 0 THEN 'Bagged' WHEN k % 7 = 1 THEN 'Not Installed' WHEN k % 7 = 2 THEN NULL ELSE 'Installed' END AS install_sts,
-  CASE WHEN k % 11 = 0 THEN 'bad' ELSE cast(cast(DATE '2026-01-01' - cast((k * 37) % 3000 AS int) AS date) AS string) END AS Warranty_Start
+  CASE WHEN k % 11 = 0 THEN 'bad'
+       WHEN k % 6 = 1 THEN cast(month(d) AS string) || '/' || cast(day(d) AS string) || '/' || cast(year(d) AS string)
+       WHEN k % 6 = 2 THEN cast(day(d) AS string) || '-' || substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month(d) - 2, 3) || '-' || cast(year(d) AS string)
+       WHEN k % 6 = 3 THEN replace(cast(d AS string), '-', '')
+       ELSE cast(d AS string) END AS Warranty_Start
 FROM (
-  SELECT c_custkey AS k, c_name AS ENTITY, 'N' || cast(c_nationkey AS string) AS Location, c_mktsegment AS Three_CEID, c_nationkey AS n FROM {customer}
+  SELECT c_custkey AS k, c_name AS ENTITY, 'N' || cast(c_nationkey AS string) AS Location, c_mktsegment AS Three_CEID, c_nationkey AS n,
+    cast(DATE '2026-01-01' - cast((c_custkey * 37) % 3000 AS int) AS date) AS d FROM {customer}
   UNION ALL
-  SELECT c_custkey, c_name, 'N' || cast(c_nationkey AS string), 'BUILDING', c_nationkey FROM {customer}
+  SELECT c_custkey, c_name, 'N' || cast(c_nationkey AS string), 'BUILDING', c_nationkey,
+    cast(DATE '2026-01-01' - cast((c_custkey * 37) % 3000 AS int) AS date) FROM {customer}
   WHERE c_custkey % 10 = 0 AND c_mktsegment <> 'BUILDING') c""",
     # The same tools, but those listed twice have a later second warranty: they span two ages.
     "fx_tools_moved": """
@@ -64,22 +70,22 @@ SELECT k, ENTITY, Location, Three_CEID, Process_Node, install_sts,
        THEN cast(cast(DATE '2026-01-01' - cast((k * 37 + 800) % 3000 AS int) AS date) AS string)
        ELSE Warranty_Start END AS Warranty_Start
 FROM {fx_tools} t""",
-    # Which part fits which configuration; a tenth of the parts is left out.
+    # Which part fits which configuration.
     "fx_gbom": """
 SELECT cast(k AS string) AS Part_Number,
   CASE s % 6 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'AUTOMOBILE' WHEN 2 THEN 'MACHINERY' WHEN 3 THEN 'HOUSEHOLD' WHEN 4 THEN 'FURNITURE' END AS Three_CEID,
   CASE WHEN s = 13 THEN 'n/a' ELSE cast(s % 5 AS string) END AS Process_Node, Tool_Type, s % 4 + 1 AS Qty_Per_Tool
 FROM (
-  SELECT p_partkey AS k, p_size AS s, p_type AS Tool_Type FROM {part} WHERE p_partkey % 10 <> 9
-  UNION ALL SELECT p_partkey, p_size + 1, p_type FROM {part} WHERE p_partkey % 3 = 0 AND p_partkey % 10 <> 9) g""",
+  SELECT p_partkey AS k, p_size AS s, p_type AS Tool_Type FROM {part}
+  UNION ALL SELECT p_partkey, p_size + 1, p_type FROM {part} WHERE p_partkey % 3 = 0) g""",
     # The same parts, which also fit the BUILDING tools of their node: tools listed twice match twice.
     "fx_gbom_shared": """
 SELECT Part_Number, Three_CEID, Process_Node, Tool_Type, Qty_Per_Tool FROM {fx_gbom} a
 UNION ALL
 SELECT Part_Number, 'BUILDING' AS Three_CEID, Process_Node, Tool_Type, Qty_Per_Tool FROM {fx_gbom} b""",
-    # Stock lines.
+    # Stock lines; some tell a part by a name that the applicability list doesn't have.
     "fx_inventory": """
-SELECT cast(l_partkey AS string) AS Part_Number,
+SELECT CASE WHEN l_partkey % 10 = 9 AND l_linenumber > 2 THEN 'X' ELSE '' END || cast(l_partkey AS string) AS Part_Number,
   CASE WHEN l_partkey % 13 = 0 THEN cast(0 AS decimal(18,2)) ELSE cast(l_quantity AS decimal(18,2)) END AS Qty,
   cast(l_extendedprice AS decimal(18,2)) AS Total_Amount_USD,
   l_suppkey AS Supplier_Code, l_orderkey, l_linenumber

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from fleetlens.plans.fixtures import view_sql
 
+# Texts with slashes, month names or eight digits aren't left to the cast, which would take some of them for other days.
+WARRANTY = """CASE WHEN Warranty_Start LIKE '%-%-%' AND length(Warranty_Start) = 10 AND TRY_CAST(left(Warranty_Start, 4) AS INTEGER) > 0
+    THEN TRY_CAST(Warranty_Start AS DATE)
+  ELSE CAST(try_strptime(Warranty_Start, ['%m/%d/%Y', '%d-%b-%Y', '%Y%m%d']) AS DATE) END"""
+
 # Named building blocks; {name} stands for another block or a fixture view.
 _BLOCKS = {
     "raw": """
@@ -87,12 +92,14 @@ SELECT m.ENTITY, h.FAB, h.FAB_ENTITY, m.counter_date AS production_date, m.wafer
 FROM {made} m LEFT JOIN {hours} h ON h.ENTITY = m.ENTITY AND h.state_date = m.counter_date""",
     "tools": """
 SELECT * REPLACE (TRY_CAST(Process_Node AS BIGINT) AS Process_Node), ENTITY || '|' || Location AS Tool_ID,
-  DATE '2026-01-01' - TRY_CAST(Warranty_Start AS DATE) AS age_days,
-  coalesce(install_sts NOT IN ('Bagged', 'Not Installed'), true) AS active FROM {fx_tools}""",
+  DATE '2026-01-01' - start AS age_days,
+  coalesce(install_sts NOT IN ('Bagged', 'Not Installed'), true) AS active FROM {started}""",
+    "started": f"SELECT *, {WARRANTY} AS start FROM {{fx_tools}}",
+    "started_moved": f"SELECT *, {WARRANTY} AS start FROM {{fx_tools_moved}}",
     "moved": """
 SELECT * REPLACE (TRY_CAST(Process_Node AS BIGINT) AS Process_Node), ENTITY || '|' || Location AS Tool_ID,
-  DATE '2026-01-01' - TRY_CAST(Warranty_Start AS DATE) AS age_days,
-  coalesce(install_sts NOT IN ('Bagged', 'Not Installed'), true) AS active FROM {fx_tools_moved}""",
+  DATE '2026-01-01' - start AS age_days,
+  coalesce(install_sts NOT IN ('Bagged', 'Not Installed'), true) AS active FROM {started_moved}""",
     "aged": """
 SELECT *, CASE WHEN age_days IS NULL THEN 'UnknownAge' WHEN age_days / 365.25 < 1 THEN '0_1Y' WHEN age_days / 365.25 < 3 THEN '1_3Y'
   WHEN age_days / 365.25 < 5 THEN '3_5Y' ELSE '5P_Y' END AS Age_Bucket FROM {tools}""",
@@ -374,8 +381,8 @@ SELECT check_name, value, bound, CAST(value <= bound AS VARCHAR) AS passed FROM
   UNION ALL SELECT 'C', (SELECT max(n) FROM {board} WHERE Part_Number IN (SELECT Part_Number FROM {gbom} GROUP BY 1 HAVING count(*) > 1)),
     (SELECT count(DISTINCT ENTITY) FROM {tools}))""",
     "tool_profile": """
-SELECT count(*) AS n_rows, count(*) FILTER (age_days IS NULL) AS n_null_warranty, CAST(min(TRY_CAST(Warranty_Start AS DATE)) AS VARCHAR) AS min_warranty,
-  CAST(max(TRY_CAST(Warranty_Start AS DATE)) AS VARCHAR) AS max_warranty, min(age_days) / CAST(365.25 AS DOUBLE) AS min_age_years,
+SELECT count(*) AS n_rows, count(*) FILTER (age_days IS NULL) AS n_null_warranty, CAST(min(start) AS VARCHAR) AS min_warranty,
+  CAST(max(start) AS VARCHAR) AS max_warranty, min(age_days) / CAST(365.25 AS DOUBLE) AS min_age_years,
   max(age_days) / CAST(365.25 AS DOUBLE) AS max_age_years, count(*) FILTER (active) AS n_active, count(*) FILTER (NOT active) AS n_inactive FROM {tools}""",
     "age_distribution": "SELECT Age_Bucket, count(*) AS n_all, count(*) FILTER (active) AS n_active FROM {aged} GROUP BY 1",
     "value_counts": """
