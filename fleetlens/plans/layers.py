@@ -1,9 +1,12 @@
 """The tool-state and counter job: raw tables, enriched tables, fact tables.
 
-Each layer reads the stored tables of the layer before it and replaces partitions of its own, so layers can
-run alone and a repeated run changes nothing.  A file that is loaded again replaces what it said before; days
-are computed anew from the rows of all stored weeks, and those that have no rows any more are emptied.  From
-which day on is noted in the table ``pending`` before raw rows change, until the layer has seen to it.
+Each layer reads the stored tables of the layer before it and replaces rows of its own, so layers can run alone and a
+repeated run changes nothing.  A file that is loaded again replaces what it said before.  A load is compared with what it
+replaces, and the tool-days that differ are noted in the table ``pending``.  The later layers compute these anew, with the
+day that follows a changed reading, and nothing else, and pass on which ones they changed.  An index of the days that each
+week's file tells, dealt into buckets by tool, leads from there to the raw weeks that have to be read.
+
+A day without a year is one of the year in which its row was loaded, or of the year before if it would lie ahead.
 """
 
 from __future__ import annotations
@@ -14,11 +17,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlens import params
-from fleetlens.functions import counter_date, iso_yearww, utc_time
+from fleetlens.functions import counter_date, iso_yearww, parse_day_shift, utc_time
 from fleetlens.operators import production, states
-from fleetlens.operators.relational import by_mode, dedup_keep_last, recent_work_weeks, stamp, union_dynamic
+from fleetlens.operators.relational import dedup_keep_last, recent_work_weeks, stamp, union_all, union_dynamic
+from fleetlens.operators.touched import KEY, changed_keys, following, only, production_of, with_previous
 from fleetlens.sources import csv_files
-from fleetlens.sources.tables import read_table, replace_partitions, staged, write_table
+from fleetlens.sources.tables import bucketed_table, read_table, replace_bucketed, replace_partitions, staged, write_table
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -47,8 +51,9 @@ class Job:
     load_ts: dt.datetime
     mode: str = "full"
     weeks: int = params.WEEKS_TO_LOAD
-    lookback_days: int = params.LOOKBACK_DAYS
+    lookback_days: int = 0  # days before asof that are computed anew whatever changed
     prefer: str = "oldest"
+    buckets: int = 16
 
     def path(self, table: str) -> str:
         return f"{self.store}/{table}"
@@ -57,8 +62,23 @@ class Job:
         """Store the rows in place of those partitions that meet the condition."""
         replace_partitions(df, self.path(table), PARTITIONS[table], replaced, sort_by=["ENTITY"])
 
-    def replace_days(self, df: DataFrame, table: str, since: dt.date) -> None:
-        self.replace(df, table, F.col(PARTITIONS[table]) >= F.lit(since))
+    def replace_keys(self, df: DataFrame, table: str, keys: DataFrame) -> None:
+        """Store the rows as all that the table has of these keys (ENTITY and the partition's column)."""
+        column = PARTITIONS[table]
+        touched = [row[0] for row in keys.select(column).distinct().collect()]
+        if not touched:
+            return
+        inside = F.col(column).isin(*touched)
+        stored = read_table(self.spark, self.path(table), merge_schema=True)
+        if stored is not None:
+            others = stored.where(inside).join(keys, ["ENTITY", column], "left_anti")
+            df = union_dynamic([others.select(*stored.columns), df])
+        self.replace(df, table, inside)
+
+    def days_index(self, table: str) -> str:
+        """The table (ENTITY, day, load_ww) of the days that the raw table's weeks tell, dealt into buckets by tool."""
+        path = self.path(f"{table}_days")
+        return bucketed_table(self.spark, path, "ENTITY string, day date, load_ww string", "load_ww", "ENTITY", self.buckets)
 
     def stored(self, table: str, merge_schema: bool = False) -> DataFrame:
         df = read_table(self.spark, self.path(table), merge_schema=merge_schema)
@@ -72,9 +92,9 @@ class Job:
         week = F.replace("load_ww", F.lit("WW"), F.lit("")).cast("int")
         return -week if self.prefer == "oldest" else week
 
-    def raw(self, table: str, df: DataFrame) -> DataFrame:
+    def raw(self, table: str, df: DataFrame, *more: str) -> DataFrame:
         """One row per natural key of a raw table whose weeks overlap."""
-        return dedup_keep_last(df, params.NATURAL_KEYS[table], [self.week_order])
+        return dedup_keep_last(df, [*params.NATURAL_KEYS[table], *more], [self.week_order])
 
 
 def _per_week(job: Job, rows: DataFrame, table: str) -> DataFrame:
@@ -87,13 +107,41 @@ def _loaded_weeks(report: DataFrame) -> list[str]:
     return [row.ww for row in report.where("loaded").select("ww").distinct().collect()]
 
 
-def _note(job: Job, table: str, days: list[DataFrame]) -> None:
-    """Note for the later layers the first of the days (one date column each) that a load adds, changes or takes away."""
-    firsts = [first for df in days if (first := df.agg(F.min(df.columns[0])).first()[0])]
-    if firsts:
-        noted = [(layer, table, min(firsts)) for layer in LAYERS[1:]]
-        pending = job.spark.createDataFrame(noted, "layer string, table string, first_day date")
-        write_table(pending, job.path("pending"), partition_by="layer")
+#: Columns of raw rows that tell of the load, not of the tool.
+_METADATA = ("load_ts", "load_date", "source_file", "file_modified_ts")
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    """State rows with category and day."""
+    return states.classified_states(rows, F.col("load_date"), ahead="last_year")
+
+
+def _note(job: Job, layer: str, keys: dict[str, DataFrame]) -> None:
+    """Note for a later layer the tool-days that change, by table."""
+    noted = [df.select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), *KEY) for table, df in keys.items()]
+    write_table(union_all(noted), job.path("pending"), partition_by="layer")
+
+
+def _noted(job: Job, layer: str, table: str) -> DataFrame:
+    pending = read_table(job.spark, job.path("pending"))
+    if pending is None:
+        return job.spark.createDataFrame([], "ENTITY string, day date")
+    return pending.where((F.col("layer") == layer) & (F.col("table") == table)).select(*KEY).distinct()
+
+
+def _store_raw(job: Job, table: str, rows: DataFrame, old: DataFrame | None, weeks: list[str], day: str) -> None:
+    """Note what differs, store the rows as the weeks' whole content, and index their days.
+
+    ``rows`` and ``old`` have the column ``day``; the raw table doesn't store it if it is read from a text.
+    """
+    told = [name for name in rows.columns if name not in _METADATA]
+    told += [name for name in (old.columns if old is not None else []) if name not in (*told, *_METADATA)]
+    before = rows.limit(0) if old is None else old
+    _note(job, "silver", {table: changed_keys(rows, before, told, day)})
+    raw = rows.drop("state_date", "state_category")
+    job.replace(raw, table, F.col("load_ww").isin(*weeks))
+    days = rows.select("ENTITY", F.col(day).alias("day"), "load_ww").dropna().distinct()
+    replace_bucketed(days, job.days_index(table), "load_ww", "ENTITY", weeks)
 
 
 def load_states(job: Job, weeks: DataFrame) -> csv_files.Loaded:
@@ -101,14 +149,19 @@ def load_states(job: Job, weeks: DataFrame) -> csv_files.Loaded:
     table = "entity_states_raw"
     loaded = csv_files.read_states(job.spark, csv_files.discover_state_files(job.spark, job.source, weeks), job.load_ts)
     rows = staged(_per_week(job, loaded.rows, table), f"{job.path(table)}_loaded")
-    read = F.col("load_ww").isin(*_loaded_weeks(loaded.report))
+    read = _loaded_weeks(loaded.report)
     stored = read_table(job.spark, job.path(table))
-    old = [] if stored is None else [stored.where(read)]
-    _note(job, table, [states.classified_states(df, job.asof).select("state_date") for df in (rows, *old)])
-    job.replace(rows, table, read)
+    # Rows whose day can't be read are stored, and belong to no day.
+    day = _day_of_states()
+    old = None if stored is None else stored.where(F.col("load_ww").isin(*read)).withColumn("state_date", day)
+    _store_raw(job, table, rows.withColumn("state_date", day), old, read, "state_date")
     return csv_files.Loaded(rows, loaded.report)
 
 
+def _day_of_states() -> Column:
+    return parse_day_shift(F.col("DAY_SHIFT"), F.col("load_date"), ahead="last_year")
+
+
 def load_counters(job: Job, weeks: DataFrame) -> csv_files.Loaded:
     """Load the counter files of some weeks (ww, rank) in place of what was stored for their weeks and days.
 
@@ -118,16 +171,15 @@ def load_counters(job: Job, weeks: DataFrame) -> csv_files.Loaded:
     files = csv_files.discover_counter_files(job.spark, job.source, weeks)
     loaded = csv_files.read_counters(job.spark, files, job.load_ts)
     rows = staged(_per_week(job, loaded.rows, table), f"{job.path(table)}_loaded")
-    read = F.col("load_ww").isin(*_loaded_weeks(loaded.report))
+    read = _loaded_weeks(loaded.report)
     told = files.select(F.col("ww").alias("load_ww"), counter_date(utc_time(F.col("modified"))).alias("counter_date"))
-    told = told.where(read)
-    _note(job, table, [told.select("counter_date")])
     stored = read_table(job.spark, job.path(table), merge_schema=True)
-    whole = rows
+    whole, old = rows, None
     if stored is not None:
-        others = stored.where(read).join(told, ["load_ww", "counter_date"], "left_anti")
-        whole = union_dynamic([others.select(*stored.columns), rows])
-    job.replace(whole, table, read)
+        old = stored.where(F.col("load_ww").isin(*read))
+        others = old.join(told, ["load_ww", "counter_date"], "left_anti")
+        whole = staged(union_dynamic([others.select(*stored.columns), rows]), f"{job.path(table)}_whole")
+    _store_raw(job, table, whole, old, read, "counter_date")
     return csv_files.Loaded(rows, loaded.report)
 
 
@@ -143,23 +195,21 @@ def run_bronze(job: Job) -> dict[str, DataFrame]:
     return tables
 
 
-def _first_day(job: Job, layer: str, table: str, df: DataFrame, column: str) -> dt.date:
-    """First day to compute: that of the weeks the mode asks for, of loads not yet seen to, and of late data."""
-    days = [job.asof - dt.timedelta(days=job.lookback_days)]
-    days.append(by_mode(df, job.mode, job.asof, job.weeks).agg(F.min(column)).first()[0])
-    pending = read_table(job.spark, job.path("pending"))
-    if pending is not None:
-        noted = pending.where((F.col("layer") == layer) & (F.col("table") == table))
-        days.append(noted.agg(F.min("first_day")).first()[0])
-    return min(day for day in days if day)
+def _touched(job: Job, table: str) -> DataFrame:
+    """Keys of a raw table to compute: noted ones, in full mode all that the weeks tell, and those of the last days."""
+    index = job.spark.table(job.days_index(table))
+    asked = F.col("day") > F.lit(job.asof - dt.timedelta(days=job.lookback_days))
+    if job.mode == "full":
+        asked |= F.col("load_ww").isin(*[row.ww for row in recent_work_weeks(job.spark, job.asof, job.weeks).collect()])
+    always = index.where(asked) if job.lookback_days or job.mode == "full" else index.where("false")
+    return _noted(job, "silver", table).unionByName(always.select(*KEY)).distinct()
 
 
-def _first_days(job: Job, layer: str) -> tuple[dt.date, dt.date]:
-    """First days to compute of states and of production, which a late state completes too."""
-    dated = states.classified_states(job.stored("entity_states_raw"), job.asof)
-    state_day = _first_day(job, layer, "entity_states_raw", dated, "state_date")
-    counters = job.stored("counters_raw", merge_schema=True)
-    return state_day, min(state_day, _first_day(job, layer, "counters_raw", counters, "counter_date"))
+def _raw_of(job: Job, table: str, keys: DataFrame) -> DataFrame:
+    """Raw rows of the weeks that tell the keys; the index is read in the buckets in which it lies."""
+    index = job.spark.table(job.days_index(table))
+    weeks = [row[0] for row in index.join(keys, KEY, "left_semi").select("load_ww").distinct().collect()]
+    return job.stored(table, merge_schema=True).where(F.col("load_ww").isin(*weeks))
 
 
 def _done(job: Job, layer: str) -> None:
@@ -170,24 +220,35 @@ def _done(job: Job, layer: str) -> None:
 
 
 def run_silver(job: Job) -> dict[str, DataFrame]:
-    """State hours, production and replacements of the days the loaded weeks touch."""
-    first_state_day, first_day = _first_days(job, "silver")
+    """State hours, production and replacements of the tool-days that loads changed."""
+    for table in ("entity_states_raw", "counters_raw"):
+        job.stored(table)
+    state_keys = staged(_touched(job, "entity_states_raw"), job.path("state_keys"))
+    counter_keys = staged(_touched(job, "counters_raw"), job.path("counter_keys"))
+
     # A day may be told by the files of several weeks, so its rows are taken from all of them.
-    dated = states.classified_states(job.stored("entity_states_raw"), job.asof)
-    dated = job.raw("entity_states_raw", dated.where(F.col("state_date") >= F.lit(first_state_day)))
-    hours = states.hours_of_classified(dated)
-    job.replace_days(stamp(hours, "calculation_timestamp", job.load_ts), "state_hours", first_state_day)
-
-    raw_counters = job.stored("counters_raw", merge_schema=True)
-    recent = job.raw("counters_raw", raw_counters.where(F.col("counter_date") >= F.lit(first_day)))
-    stored_hours = job.stored("state_hours").where(F.col("state_date") >= F.lit(first_day))
-    details = production.incremental_production(recent, raw_counters, stored_hours, first_day, ties=[job.week_order])
-    made = stamp(details.select(*production.PRODUCTION_COLUMNS), "calculation_timestamp", job.load_ts)
-    job.replace_days(made, "wafer_production", first_day)
-
-    stored_made = job.stored("wafer_production").where(F.col("counter_date") >= F.lit(first_day))
-    events = stamp(production.part_replacements(stored_made), "replacement_detected_ts", job.load_ts)
-    job.replace_days(events, "part_replacements", first_day)
+    dated = only(_dated(_raw_of(job, "entity_states_raw", state_keys)), state_keys, "state_date")
+    hours = states.hours_of_classified(job.raw("entity_states_raw", dated, "state_date"))
+    by_day = state_keys.withColumnRenamed("day", "state_date")
+    job.replace_keys(stamp(hours, "calculation_timestamp", job.load_ts), "state_hours", by_day)
+
+    # Days of the touched tools: what is to be computed, and what it is compared with.
+    both = state_keys.unionByName(counter_keys).distinct()
+    index = job.spark.table(job.days_index("counters_raw"))
+    days = staged(index.join(both.select("ENTITY").distinct(), "ENTITY", "left_semi").select(*KEY).distinct(), job.path("tool_days"))
+    made_keys = staged(both.unionByName(following(counter_keys, days)).distinct(), job.path("made_keys"))
+    needed = staged(with_previous(made_keys.join(days, KEY, "left_semi"), days), job.path("needed_keys"))
+    counters = job.raw("counters_raw", only(_raw_of(job, "counters_raw", needed), needed, "counter_date"))
+    stored_hours = read_table(job.spark, job.path("state_hours"))
+    stored_hours = hours if stored_hours is None else stored_hours.where(F.col("state_date").isin(*_days_of(made_keys)))
+    details = staged(production_of(made_keys, counters, stored_hours), job.path("production_details"))
+    by_day = made_keys.withColumnRenamed("day", "counter_date")
+    made = details.select(*production.PRODUCTION_COLUMNS)
+    job.replace_keys(stamp(made, "calculation_timestamp", job.load_ts), "wafer_production", by_day)
+    events = stamp(production.part_replacements(details), "replacement_detected_ts", job.load_ts)
+    job.replace_keys(events, "part_replacements", made_keys.withColumnRenamed("day", "replacement_date"))
+
+    _note(job, "gold", {"state_hours": state_keys, "wafer_production": made_keys})
     _done(job, "silver")
     events_stored = read_table(job.spark, job.path("part_replacements"))
     return {
@@ -197,13 +258,8 @@ def run_silver(job: Job) -> dict[str, DataFrame]:
     }
 
 
-def _weeks_since(job: Job, days: str, column: str, weeks: str, since: dt.date) -> list[str]:
-    """Week labels that have a day from ``since`` on, or had one when the weekly fact was stored."""
-    found = job.stored(days).where(F.col(column) >= F.lit(since)).select(iso_yearww(F.col(column)).alias("YEARWW"))
-    before = read_table(job.spark, job.path(weeks))
-    if before is not None:
-        found = found.union(before.where(F.col("week_end_date") >= F.lit(since)).select("YEARWW"))
-    return [row[0] for row in found.distinct().collect()]
+def _days_of(keys: DataFrame) -> list[dt.date]:
+    return [row[0] for row in keys.select("day").distinct().collect()]
 
 
 def _whole_weeks(job: Job, table: str, column: str, labels: list[str]) -> DataFrame:
@@ -217,24 +273,33 @@ def _whole_weeks(job: Job, table: str, column: str, labels: list[str]) -> DataFr
 
 
 def run_gold(job: Job) -> dict[str, DataFrame]:
-    """Daily facts of the days the loaded weeks touch, and the facts of all their weeks."""
-    hours, made = job.stored("state_hours"), job.stored("wafer_production")
-    _, since = _first_days(job, "gold")
+    """Daily facts of the tool-days that the layer before changed, and the facts of their weeks."""
+    state_keys = staged(_noted(job, "gold", "state_hours"), job.path("gold_state_keys"))
+    keys = staged(_noted(job, "gold", "wafer_production").unionByName(state_keys).distinct(), job.path("gold_keys"))
+    days = _days_of(keys)
 
     def stamped(df: DataFrame) -> DataFrame:
         return stamp(df, "calculation_timestamp", job.load_ts)
 
-    recent_made = made.where(F.col("counter_date") >= F.lit(since)).drop("calculation_timestamp")
-    recent_hours = hours.where(F.col("state_date") >= F.lit(since)).drop("calculation_timestamp")
-    job.replace_days(stamped(production.daily_production(recent_made, recent_hours)), "fact_daily_production", since)
-    job.replace_days(stamped(states.daily_state_fact(recent_hours)), "fact_state_hours_daily", since)
-    for weekly, daily, column, fact in (
-        ("fact_weekly_production", "fact_daily_production", "production_date", production.weekly_production),
-        ("fact_state_hours_weekly", "fact_state_hours_daily", "state_date", states.weekly_state_fact),
+    def stored(table: str, keys: DataFrame) -> DataFrame:
+        column = PARTITIONS[table]
+        return only(job.stored(table).where(F.col(column).isin(*days)), keys, column).drop("calculation_timestamp")
+
+    made, hours = stored("wafer_production", keys), stored("state_hours", keys)
+    by_day = keys.withColumnRenamed("day", "production_date")
+    job.replace_keys(stamped(production.daily_production(made, hours)), "fact_daily_production", by_day)
+    by_day = state_keys.withColumnRenamed("day", "state_date")
+    job.replace_keys(stamped(states.daily_state_fact(stored("state_hours", state_keys))), "fact_state_hours_daily", by_day)
+    for weekly, daily, column, fact, touched in (
+        ("fact_weekly_production", "fact_daily_production", "production_date", production.weekly_production, keys),
+        ("fact_state_hours_weekly", "fact_state_hours_daily", "state_date", states.weekly_state_fact, state_keys),
     ):
-        labels = _weeks_since(job, daily, column, weekly, since)
-        rows = fact(_whole_weeks(job, daily, column, labels))
-        job.replace(stamped(rows), weekly, F.col("YEARWW").isin(*labels))
+        weeks = staged(touched.select("ENTITY", iso_yearww(F.col("day")).alias("YEARWW")).distinct(), job.path(f"{weekly}_keys"))
+        labels = [row[0] for row in weeks.select("YEARWW").distinct().collect()]
+        if labels:
+            named = _whole_weeks(job, daily, column, labels).withColumn("YEARWW", iso_yearww(F.col(column)))
+            rows = fact(named.join(weeks, ["ENTITY", "YEARWW"], "left_semi").drop("YEARWW"))
+            job.replace_keys(stamped(rows), weekly, weeks)
     _done(job, "gold")
     facts = [table for table in PARTITIONS if table.startswith("fact_")]
     return {table: df for table in facts if (df := read_table(job.spark, job.path(table))) is not None}

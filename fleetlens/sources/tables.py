@@ -6,6 +6,7 @@ time range and a tool are found through partition pruning and column statistics.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -137,6 +138,39 @@ def replace_partitions(
     return written
 
 
+def bucketed_table(
+    spark: SparkSession, path: str, columns: str, partition_by: str, bucket_by: str, buckets: int
+) -> str:
+    """Name of the table at ``path``, dealt into buckets by a column, so that joins on it need not shuffle it.
+
+    The definition lives in the session's catalog only and is made anew where it is missing; ``columns`` is DDL.
+    """
+    name = f"bucketed_{hashlib.md5(path.encode()).hexdigest()}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({partition_by}) "
+        f"CLUSTERED BY ({bucket_by}) SORTED BY ({bucket_by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    if read_table(spark, path) is not None:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name
+
+
+def replace_bucketed(df: DataFrame, name: str, partition_by: str, bucket_by: str, partitions: Sequence[str]) -> None:
+    """Store rows as the whole content of these partitions of a bucketed table."""
+    spark = df.sparkSession
+    columns = [column for column in spark.table(name).columns if column != partition_by]
+    view = f"{name}_new"
+    # Each bucket is one task's, so a partition gets one file per bucket.
+    buckets = int(spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()["data_type"])
+    df.select(*columns, partition_by).repartition(buckets, bucket_by).createOrReplaceTempView(view)
+    try:
+        for value in partitions:
+            rows = f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {view} WHERE {partition_by} = '{value}'"
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({partition_by} = '{value}') {rows}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def staged(df: DataFrame, path: str) -> DataFrame:
     """The rows computed once, before a write to ``path`` that looks at them several times or overwrites what they read.
 
