@@ -222,24 +222,30 @@ def leadership(
     )
 
 
-def bucket_consistency(
-    gbom: DataFrame, tools: DataFrame, asof: dt.date, inactive: Sequence[str] = params.INACTIVE_STATUSES
-) -> DataFrame:
-    """(Part_Number, Tool_ID, Distinct_Buckets) where a tool has several ages within one part.
-
-    Only tools with several ages can offend, so all others are left out before anything is joined.
-    """
-    ages = F.array_distinct(F.transform("listing", lambda entry: entry["age"]))
-    suspects = tool_listings(tools, asof, inactive).where(F.size(ages) > 1)
-    parts = gbom_by_part(gbom).select("Part_Number", "configs")
+def _offences(parts: DataFrame, suspects: DataFrame) -> DataFrame:
+    """(configs, listing, Distinct_Buckets): sets of configurations and listings that meet at several ages."""
     shared_ages = F.array_distinct(F.transform("shared", lambda entry: entry["age"]))
-    offences = (
+    return (
         _matches(parts.select("configs").distinct(), suspects.select("listing").distinct())
         .select("configs", "listing", F.size(shared_ages).cast("bigint").alias("Distinct_Buckets"))
         .where(F.col("Distinct_Buckets") > 1)
     )
+
+
+def _suspects(tools: DataFrame, asof: dt.date, inactive: Sequence[str]) -> DataFrame:
+    """Tools listed with several ages; only they can offend, so all others are left out before anything is joined."""
+    ages = F.array_distinct(F.transform("listing", lambda entry: entry["age"]))
+    return tool_listings(tools, asof, inactive).where(F.size(ages) > 1)
+
+
+def bucket_consistency(
+    gbom: DataFrame, tools: DataFrame, asof: dt.date, inactive: Sequence[str] = params.INACTIVE_STATUSES
+) -> DataFrame:
+    """(Part_Number, Tool_ID, Distinct_Buckets) where a tool has several ages within one part."""
+    suspects = _suspects(tools, asof, inactive)
+    parts = gbom_by_part(gbom).select("Part_Number", "configs")
     return (
-        parts.join(offences, "configs")
+        parts.join(_offences(parts, suspects), "configs")
         .join(suspects, "listing")
         .select("Part_Number", "Tool_ID", "Distinct_Buckets")
     )
@@ -252,15 +258,15 @@ def offending_tools(
     n: int = 5,
     inactive: Sequence[str] = params.INACTIVE_STATUSES,
 ) -> DataFrame:
-    """The list entries of the first ``n`` tools of ``bucket_consistency``, by part, then by tool."""
-    first = (
-        bucket_consistency(gbom, tools, asof, inactive)
-        .groupBy("Tool_ID")
-        .agg(F.min("Part_Number").alias("first_part"))
-        .orderBy("first_part", "Tool_ID")
-        .limit(n)
-        .select("Tool_ID")
-    )
+    """The list entries of the first ``n`` tools of ``bucket_consistency``, by part, then by tool.
+
+    Pairs of a part and a tool are not made: the least part of each set of configurations goes to the listings that offend
+    with the set, the least of these to the tools.
+    """
+    suspects = _suspects(tools, asof, inactive)
+    parts = gbom_by_part(gbom).groupBy("configs").agg(F.min("Part_Number").alias("first_part"))
+    per_listing = _offences(parts, suspects).join(parts, "configs").groupBy("listing").agg(F.min("first_part").alias("first_part"))
+    first = suspects.join(per_listing, "listing").orderBy("first_part", "Tool_ID").limit(n).select("Tool_ID")
     used = gbom.select("Three_CEID", to_int(F.col("Process_Node")).alias("Process_Node")).distinct()
     rows = _active(tools, asof, inactive).select("Tool_ID", *_CONFIG, "Warranty_Start", "Age_Bucket").distinct()
     same_config = rows["Three_CEID"].eqNullSafe(used["Three_CEID"]) & rows["Process_Node"].eqNullSafe(

@@ -43,18 +43,21 @@ def production_details(
     fallback: Sequence[str] = params.FALLBACK_KEYWORDS,
     threshold: float = params.REPLACEMENT_THRESHOLD,
     order_by: Sequence[str] = ("FAB_ENTITY",),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Production per tool and day, together with what was considered on the way.
 
     The running hours are joined while both sides are partitioned by tool and day; only then are the
     rows gathered by tool to look at the day before.  ``state_hours`` has one row per tool and day.
+    Its columns to ``carry`` come along in the struct ``state``, null where no state is known.
     """
     candidates = Candidates.of(counters, primary, fallback)
     readings = counters.where(F.col("ENTITY").isNotNull()).select(
         "ENTITY", "counter_date", *order_by, candidates.readings(counters).alias("readings")
     )
     last = day_rows(readings, "ENTITY", "counter_date", "readings", [*order_by, "readings"])
-    running = state_hours.select("ENTITY", F.col("state_date").alias("counter_date"), "running_hours")
+    state = [F.struct(*carry).alias("state")] if carry else []
+    running = state_hours.select("ENTITY", F.col("state_date").alias("counter_date"), "running_hours", *state)
     days = last.join(running, ["ENTITY", "counter_date"], "left")
     return _decide(previous_row(days, "ENTITY", "counter_date", "readings", "before"), candidates, threshold)
 
@@ -144,6 +147,7 @@ def _decide(days: DataFrame, candidates: Candidates, threshold: float) -> DataFr
         F.col("first_change").alias("picked_change"),
         "fallback_tried",
         F.col("spare_keyword").alias("fallback_keyword"),
+        *(["state"] if "state" in days.columns else []),
     )
 
 
@@ -230,6 +234,17 @@ def daily_production(production: DataFrame, state_hours: DataFrame) -> DataFrame
     return dedup_keep_last(fact, ["ENTITY", "production_date"], ["FAB", "FAB_ENTITY"])
 
 
+def daily_from_counters(counters: DataFrame, state_hours: DataFrame, **rules) -> DataFrame:
+    """``daily_production`` straight from counters: one join with the state hours carries all of their columns."""
+    columns = ["FAB", "FAB_ENTITY", *_HOURS, "is_bagged"]
+    details = production_details(counters, state_hours, carry=columns, **rules)
+    return details.select(
+        "ENTITY", "state.FAB", "state.FAB_ENTITY", F.col("counter_date").alias("production_date"), "wafers_produced",
+        "wafers_per_hour", *[f"state.{name}" for name in _HOURS], "state.is_bagged", "part_replacement_detected",
+        "counter_column_used", "counter_keyword_used",
+    )
+
+
 def weekly_production(daily: DataFrame, year_basis: str = "calendar") -> DataFrame:
     """Production per tool and week.  Days without a known site are left out."""
     keys = ["ENTITY", "FAB", "FAB_ENTITY", "YEARWW"]

@@ -64,8 +64,7 @@ def details(fx: Fixtures) -> DataFrame:
 
 
 def daily_fact(fx: Fixtures) -> DataFrame:
-    hours = daily_hours(fx)
-    return production.daily_production(production.wafer_production(raw_counters(fx), hours), hours)
+    return production.daily_from_counters(raw_counters(fx), daily_hours(fx))
 
 
 def with_readings(fx: Fixtures) -> tuple[DataFrame, fn.Candidates]:

@@ -140,10 +140,27 @@ def _store_raw(job: Job, table: str, rows: DataFrame, old: DataFrame | None, wee
     _note(job, "silver", {table: changed_keys(rows, before, told, day)})
     raw = rows.drop("state_date", "state_category")
     job.replace(raw, table, F.col("load_ww").isin(*weeks))
+    _keep_columns(job, table, [name for name in raw.columns if name.endswith(params.COUNTER_SUFFIX)])
     days = rows.select("ENTITY", F.col(day).alias("day"), "load_ww").dropna().distinct()
     replace_bucketed(days, job.days_index(table), "load_ww", "ENTITY", weeks)
 
 
+def _keep_columns(job: Job, table: str, counters: list[str]) -> None:
+    """Give counter columns that the table hasn't had yet the next places, for good."""
+    path = job.path(f"{table}_columns")
+    known = {row.name: row.place for row in stored.collect()} if (stored := read_table(job.spark, path)) is not None else {}
+    new = [(name, len(known) + i) for i, name in enumerate(name for name in counters if name not in known)]
+    if new:
+        write_table(job.spark.createDataFrame(new, "name string, place int"), path)
+
+
+def _in_order(job: Job, table: str, df: DataFrame) -> DataFrame:
+    """The table's counter columns in the order in which they first came; a file that comes or goes doesn't change it."""
+    stored = read_table(job.spark, job.path(f"{table}_columns"))
+    places = {} if stored is None else {row.name: row.place for row in stored.collect()}
+    return df.select(*[f"`{name}`" for name in sorted(df.columns, key=lambda name: places.get(name, -1))])
+
+
 def load_states(job: Job, weeks: DataFrame) -> csv_files.Loaded:
     """Load the state files of some weeks (ww, rank) in place of what was stored for these weeks."""
     table = "entity_states_raw"
@@ -155,7 +172,15 @@ def load_states(job: Job, weeks: DataFrame) -> csv_files.Loaded:
     day = _day_of_states()
     old = None if stored is None else stored.where(F.col("load_ww").isin(*read)).withColumn("state_date", day)
     _store_raw(job, table, rows.withColumn("state_date", day), old, read, "state_date")
-    return csv_files.Loaded(rows, loaded.report)
+    _store_rejected(job, table, loaded, weeks)
+    return csv_files.Loaded(rows, loaded.report, loaded.rejected)
+
+
+def _store_rejected(job: Job, table: str, loaded: csv_files.Loaded, weeks: DataFrame) -> None:
+    """Keep the lines that the weeks' files have beyond their rows."""
+    path = job.path(f"{table}_rejected")
+    if read_table(job.spark, path) is not None or not loaded.rejected.isEmpty():
+        replace_partitions(loaded.rejected, path, "ww", F.col("ww").isin(*[row.ww for row in weeks.collect()]))
 
 
 def _day_of_states() -> Column:
@@ -180,7 +205,8 @@ def load_counters(job: Job, weeks: DataFrame) -> csv_files.Loaded:
         others = old.join(told, ["load_ww", "counter_date"], "left_anti")
         whole = staged(union_dynamic([others.select(*stored.columns), rows]), f"{job.path(table)}_whole")
     _store_raw(job, table, whole, old, read, "counter_date")
-    return csv_files.Loaded(rows, loaded.report)
+    _store_rejected(job, table, loaded, weeks)
+    return csv_files.Loaded(rows, loaded.report, loaded.rejected)
 
 
 def run_bronze(job: Job) -> dict[str, DataFrame]:
@@ -209,7 +235,7 @@ def _raw_of(job: Job, table: str, keys: DataFrame) -> DataFrame:
     """Raw rows of the weeks that tell the keys; the index is read in the buckets in which it lies."""
     index = job.spark.table(job.days_index(table))
     weeks = [row[0] for row in index.join(keys, KEY, "left_semi").select("load_ww").distinct().collect()]
-    return job.stored(table, merge_schema=True).where(F.col("load_ww").isin(*weeks))
+    return _in_order(job, table, job.stored(table, merge_schema=True)).where(F.col("load_ww").isin(*weeks))
 
 
 def _done(job: Job, layer: str) -> None:

@@ -7,6 +7,7 @@ time range and a tool are found through partition pruning and column statistics.
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -126,18 +127,24 @@ def replace_partitions(
     """
     spark = df.sparkSession
     new = staged(df, path)
-    got = {str(row[0]) for row in new.select(partition_by).distinct().collect()}
+    got = {_folder_value(row[0]) for row in new.select(partition_by).distinct().collect()}
     stored = read_table(spark, path, merge_schema=True)
     # Like the partitions of a write, these are held by the driver: one value per emptied day or week.
     held = [] if stored is None else [row[0] for row in stored.where(replaced).select(partition_by).distinct().collect()]
     written = _write(new, path, "overwrite", "dynamic", partition_by, sort_by) if got else 0
-    for value in held:
-        if str(value) not in got:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in map(_folder_value, held):
+        if value not in got:
             nothing = spark.createDataFrame([], stored.drop(partition_by).schema)
-            nothing.write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
+            nothing.write.mode("overwrite").parquet(f"{path}/{partition_by}={escape(value)}")
     return written
 
 
+def _folder_value(value) -> str:
+    """A partition's value as its folder names it, before characters are escaped."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
+
+
 def bucketed_table(
     spark: SparkSession, path: str, columns: str, partition_by: str, bucket_by: str, buckets: int
 ) -> str:
@@ -183,12 +190,81 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}_staged")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows as stored in the cluster's checkpoint folder, so that they are computed once.
+def once(df: DataFrame) -> DataFrame:
+    """The rows computed once and stored in the cluster's checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path for it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def partition_folders(spark: SparkSession, path: str) -> list[str]:
+    """Values of a stored table's partitions, as its folders name them; no file is opened."""
+    files, place = _files(spark, path)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place) if status.isDirectory()]
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return sorted(unescape(name.split("=", 1)[1]) for name in names if "=" in name)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Remove the folders of these partitions."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        files, place = _files(spark, f"{path}/{column}={escape(value)}")
+        files.delete(place, True)
+
+
+def publish(spark: SparkSession, store: str, names: Sequence[str]) -> None:
+    """Put the staged tables (``store/_staged/name``) in the place of the stored ones, by moving folders.
 
-    Without such a folder (``spark.checkpoint.dir``) the rows are computed where they are needed.
+    A note of the names comes first and goes last.  What a crash leaves in between is completed by ``recover``: then all
+    tables are the new ones.  Without a note all are the old ones, and what is staged counts for nothing.
     """
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
+    note = spark.createDataFrame([(name,) for name in names], "name string").coalesce(1)
+    note.write.mode("overwrite").parquet(f"{store}/_publishing")
+    recover(spark, store)
+
+
+def recover(spark: SparkSession, store: str) -> None:
+    """Complete a publication that was begun; safe to run at any time and again."""
+    note = read_table(spark, f"{store}/_publishing")
+    if note is None:
+        return
+    for name in sorted(row.name for row in note.collect()):
+        files, target = _files(spark, f"{store}/{name}")
+        _, staged_ = _files(spark, f"{store}/_staged/{name}")
+        _, old = _files(spark, f"{store}/_replaced/{name}")
+        if not files.exists(staged_):
+            continue  # moved already
+        if files.exists(target):
+            files.delete(old, True)
+            files.mkdirs(old.getParent())
+            _moved(files, target, old)
+        _moved(files, staged_, target)
+        files.delete(old, True)
+    files, place = _files(spark, f"{store}/_publishing")
+    files.delete(place, True)
+
+
+def _moved(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
 
 
 def truncate(spark: SparkSession, path: str) -> None:

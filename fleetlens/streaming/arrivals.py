@@ -1,6 +1,6 @@
 """Raw tables kept up to date from a stream of file arrivals.
 
-The stream carries which files arrived, not their rows: the columns of counter files are only known
+The stream carries which files arrived or were rewritten under their name, not their rows: the columns of counter files are only known
 once they are there.  Each batch loads the weeks in which files arrived with the batch reader, so a
 batch that is repeated after a failure gives the same tables.
 """
@@ -9,13 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.plans.layers import Job, load_counters, load_states  # noqa: F401
-
-_ARRIVAL = "path string, modificationTime timestamp, length long, content binary"
-
+from fleetlens.streaming.file_changes import file_changes
 
 def _arrived_weeks(batch: DataFrame) -> DataFrame:
     """(ww, rank) of the week folders in which files arrived, newest first; other folders don't count."""
@@ -37,11 +35,6 @@ def start(
         if not weeks.isEmpty():
             load(job, weeks)
 
-    arrivals = _arrivals(job.spark, job.source, pattern)
+    arrivals = file_changes(job.spark, job.source, pattern).select("path")
     writer = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def _arrivals(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    files = spark.readStream.format("binaryFile").schema(_ARRIVAL).load(f"{root}/*/{pattern}")
-    return files.select("path", "modificationTime")

@@ -178,3 +178,45 @@ def test_week_filter_prunes_partitions(spark, tmp_path):
 def test_curated_tables_lose_blanks_in_column_names(spark, tmp_path):
     spark.createDataFrame([(1, 2)], "` Qty ` int, Part int").write.parquet(str(tmp_path / "inv"))
     assert tables.read_curated(spark, {"inv": str(tmp_path / "inv")})["inv"].columns == ["Qty", "Part"]
+
+
+def test_lines_with_surplus_cells_are_reported_and_their_file_is_rejected(spark, tmp_path):
+    lines = [f"E{i},{i}" for i in range(400)]
+    lines[250] = "E250,1,2"
+    lines[300] = '"E,300",1,"2, 3",4'
+    write_csv(tmp_path, "2025WW52", "Counters_1.csv", ["ENTITY,APCCounter", "", *lines], dt.datetime(2025, 12, 17))
+    write_csv(tmp_path, "2025WW51", "Counters_1.csv", ["ENTITY,APCCounter,ESCCounter", '"A, ""b""",1', "C"], dt.datetime(2025, 12, 10))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        files = csv.discover_counter_files(spark, str(tmp_path), recent_work_weeks(spark, ASOF))
+        loads = {ragged: csv.read_counters(spark, files, LOAD_TS, ragged=ragged, normalize=False) for ragged in ("reject", "report", "cut")}
+        bad = [("2025WW52", 253, "3 cells, the header has 2", "E250,1,2"), ("2025WW52", 303, "4 cells, the header has 2", '"E,300",1,"2, 3",4')]
+        for ragged, n in (("reject", 2), ("report", 400), ("cut", 402)):
+            loaded = loads[ragged]
+            assert rows(loaded.rejected, "ww", "line", "reason", "text") == bad
+            assert loaded.rows.count() == n
+            assert rows(loaded.report, "ww", "reason") == [("2025WW51", None), ("2025WW52", "lines of more than 2 cells" if ragged == "reject" else None)]
+        assert rows(loads["report"].rows.where("load_ww = '2025WW51'"), "ENTITY", "APCCounter", "ESCCounter") == [('A, "b"', D("1.00"), None), ("C", None, None)]
+        assert rows(loads["cut"].rows.where("ENTITY = 'E250'"), "APCCounter") == [(D("1.00"),)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(ValueError):
+        csv.read_counters(spark, files, LOAD_TS, ragged="skip")
+
+
+def test_one_scan_of_the_text_and_files_with_quoted_breaks(spark, tmp_path):
+    line = "F1,WW,12/01-Day,{},E_PC,1.5,24,0.0625"
+    write_csv(tmp_path, "2025WW52", "EntityStates.csv", [STATE_HEADER, line.format("Störung")], dt.datetime(2025, 12, 17), "latin-1")
+    write_csv(tmp_path, "2025WW51", "EntityStates.csv", [STATE_HEADER, line.format("Prüfung"), line.format('5" pipe')], dt.datetime(2025, 12, 10))
+    write_csv(tmp_path, "2025WW50", "EntityStates.csv", [STATE_HEADER, line.format('"Two\nlines, ""q"""'), line.format("x")], dt.datetime(2025, 12, 3))
+    loaded = csv.bronze_states(spark, str(tmp_path), ASOF, LOAD_TS)
+    told = {"Störung", "Prüfung", '5" pipe', 'Two\nlines, "q"', "x"}
+    assert {row.ENTITY_STATE for row in loaded.rows.collect()} == told
+    assert loaded.rejected.count() == 0
+    # Lines are stored once, as bytes; only the file with a break in a cell is read by itself, unsplit.
+    plan = loaded.rows._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Initial Plan")[0]
+    assert plan.count("FileScan text") == 0 and plan.count("FileScan csv") == 1
+    broken = csv.read_states(spark, csv.discover_state_files(spark, str(tmp_path), recent_work_weeks(spark, ASOF)), LOAD_TS, multiline=False, ragged="report")
+    assert broken.rows.where("load_ww = '2025WW50'").count() > 2
