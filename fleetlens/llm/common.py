@@ -7,8 +7,10 @@ import tempfile
 import zipfile
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.functions import pandas_udf
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +54,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bits of a Bloom filter: the least and the most (8 MB, which is what a task is sent), and those per key in between.
+BLOOM_LEAST, BLOOM_MOST, BLOOM_PER_KEY = 1 << 16, 1 << 26, 16
+
+
+def bloom_filter(hashes: DataFrame) -> np.ndarray:
+    """The words of a Bloom filter over `hashes`, one column of longs.
+
+    Its size is bounded: with more keys than that is meant for, more rows pass that needn't, but none is lost.
+    """
+    (name,) = hashes.columns
+    keys = hashes.count()
+    bits = max(BLOOM_LEAST, min(BLOOM_MOST, 1 << (BLOOM_PER_KEY * keys).bit_length()))
+    places = F.explode(F.array(*[place.bitwiseAND(F.lit(bits - 1)) for place in (F.col(name), F.shiftright(name, 32))]))
+    words = hashes.select(places.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    found = words.agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).toArrow()
+    made = np.zeros(bits // 64, np.uint64)
+    made[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return made
+
+
+def maybe_among(spark: SparkSession, words: np.ndarray, hash: Column) -> Column:
+    """Whether a Bloom filter holds a key (true for all of its keys and few others): a filter before a shuffle."""
+    shared = spark.sparkContext.broadcast(words)
+
+    @pandas_udf("boolean")
+    def among(hashes):
+        words, found = shared.value, True
+        for places in (hashes.to_numpy(), hashes.to_numpy() >> 32):
+            places = places & (64 * len(words) - 1)
+            found = found & ((words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+        return pd.Series(found)
+
+    return among(hash)
+
+
 class Memo(dict):
     """Values of a function of one word, kept until there are `limit` of them; then it starts anew."""
 

@@ -8,8 +8,8 @@ Confirmed toxic texts are the positives; unlabelled text, toxic or not, is all t
 where the bracket is the risk on non-toxic text and can't be negative (if it is estimated so, the step goes uphill there).
 g is linear in the presence of features: words in lower case and their first 4, 5 and 6 letters, hashed.
 
-Spark counts all features over all positives and all documents outside the held-out fold and selects those that tell.  Only
-the fit has bounded samples: about `max_positive` labelled and `max_unlabelled` other documents by a hash of doc_id, whole
+Spark counts all features over all positives and all documents outside the held-out fold and selects those that tell
+(`margin`, `support` and `features` of train()).  Only the fit has bounded samples: about `max_positive` labelled and `max_unlabelled` other documents by a hash of doc_id, whole
 texts.  The driver gets the selected features and, per sampled document, which of them it has, and the fit (numpy) takes
 seconds at any size of the corpus.  Every document is scored, where it lies.
 
@@ -28,14 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlens.llm.common import Memo, checkpointed, ship
+from fleetlens.llm.common import Memo, bloom_filter, checkpointed, maybe_among, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-#: Size of the hashed feature space, and features kept for the fit.
+#: Size of the hashed feature space.
 SPACE = 1 << 20
-KEPT = 20_000
-MARGIN = 5.0
 
 
 def fold(doc_id: Column) -> Column:
@@ -67,10 +65,7 @@ class Model:
         def score(text: str | None) -> float:
             if not self.trained:
                 return 0.0
-            found = set()
-            for word in words_of(text):
-                if of_word := known[word]:
-                    found.update(of_word)
+            found = set().union(*filter(None, map(known.__getitem__, words_of(text))))
             z = self.bias + sum(weights[f] for f in sorted(found))
             return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
@@ -118,16 +113,18 @@ def fit(
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 8000, prior: float | None = None
-) -> Model:
+    docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 8000, prior: float | None = None,
+    margin: float = 5.0, support: int = 3, features: int = SPACE,
+) -> Model:
     """Fits on rows outside the held-out fold.
 
     `prior` is the share of toxic text; by default the share of toxic among the labelled rows, between 0.01 and 0.5, or
-    0.1 if all of them are toxic.
+    0.1 if all of them are toxic.  A feature may weigh if at least `support` positives have it, and more of them than chance
+    explains by `margin` standard deviations; of these the `features` most telling ones do (by default all of them).
     """
     ship(docs.sparkSession)
     known = labels.where(fold(labels["doc_id"]) != 0).groupBy(labels["doc_id"].alias("id")).agg(F.max("toxic").alias("toxic"))
-    known = known.where("toxic is not null")
+    known = checkpointed(known.where("toxic is not null"))
     labelled, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0))).first()
     if not toxic:
         return Model()
@@ -137,37 +134,46 @@ def train(
     def sampled(doc_id: Column, most: int, of: int) -> Column:
         return F.pmod(F.xxhash64(doc_id.cast("string")), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, most / max(of, 1))))
 
+    every = known.where("toxic = 1").select("id")
     # At most about max_positive ids: a bounded table for every task.
-    chosen = known.where((F.col("toxic") == 1) & sampled(F.col("id"), max_positive, toxic)).select("id")
+    chosen = every.where(sampled(F.col("id"), max_positive, toxic))
     texts = docs.where(fold(docs["doc_id"]) != 0).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
     of_all = sampled(F.col("doc_id"), max_unlabelled, docs.count())
     rows = texts.join(F.broadcast(chosen.withColumn("positive", F.lit(True))), F.col("doc_id") == F.col("id"), "left")
     rows = rows.select("text", F.col("positive").isNotNull().alias("positive"), of_all.alias("unlabelled"), F.xxhash64("doc_id").alias("at"))
     rows = rows.where("positive or unlabelled").mapInArrow(_features, "at long, positive boolean, unlabelled boolean, features array<int>")
     rows = checkpointed(rows)  # as many rows as the samples have, without texts
-    every = known.where("toxic = 1").select("id", F.lit(True).alias("positive"))
-    every = texts.join(every, F.col("doc_id") == F.col("id"), "left").select("text", F.col("positive").isNotNull().alias("positive"))
-    kept = _telling(every)
+    kept = _telling(texts, every, margin, support, features)
     samples = _samples(rows, kept, {"positive": 2 * max_positive, "unlabelled": 2 * max_unlabelled})
     return fit(samples["positive"], samples["unlabelled"], kept, prior)
 
 
-def _telling(docs: DataFrame) -> np.ndarray:
-    """Features that positives have more often than chance explains, by MARGIN standard deviations: at most KEPT of them.
+def feature_counts(texts: DataFrame, positives: DataFrame) -> DataFrame:
+    """(feature, p, u): how many documents of `texts` have a feature, and how many of those whose id is in `positives`.
 
-    What positives lack is no evidence against them.  A task counts its documents (text, positive) before they are shuffled.
+    Feature SPACE counts the documents.  All are counted where they lie, a task's before they are shuffled.  Of the texts only
+    those that a Bloom filter of the positive ids lets through go through the join that tells which ones are positive.
     """
-    counts = docs.mapInArrow(_counts, "feature long, p long, u long")
-    counts = checkpointed(counts.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")))
+    spark = texts.sparkSession
+    words = bloom_filter(positives.select(F.xxhash64(F.col("id").cast("string"))))
+    some = texts.where(maybe_among(spark, words, F.xxhash64(F.col("doc_id").cast("string"))))
+    toxic = some.join(positives, F.col("doc_id") == F.col("id"), "left_semi")
+    u = texts.select("text").mapInArrow(_counts, "feature long, n long").select("feature", F.lit(0).cast("long").alias("p"), F.col("n").alias("u"))
+    p = toxic.select("text").mapInArrow(_counts, "feature long, n long").select("feature", F.col("n").alias("p"), F.lit(0).cast("long").alias("u"))
+    return u.union(p).groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+
+
+def _telling(texts: DataFrame, positives: DataFrame, margin: float, support: int, most: int) -> np.ndarray:
+    """Features that positives have more often than chance explains; what positives lack is no evidence against them."""
+    counts = checkpointed(feature_counts(texts, positives))
     totals = counts.where(F.col("feature") == SPACE).first()
     if totals is None:
         return np.empty(0, np.int64)
-    positives, unlabelled = totals["p"], totals["u"]
     counts = counts.where(F.col("feature") < SPACE)
-    expected = F.lit(positives) * (F.col("u") + 0.5) / F.lit(unlabelled + 1)
+    expected = F.lit(totals["p"]) * (F.col("u") + 0.5) / F.lit(totals["u"] + 1)
     gain = ((F.col("p") - expected) / F.sqrt(expected)).alias("gain")
-    best = counts.where("p >= 3").select("feature", gain).where(F.col("gain") >= MARGIN)
-    return np.sort(np.array([row[0] for row in best.orderBy(F.desc("gain"), "feature").limit(KEPT).collect()], np.int64))
+    best = counts.where(F.col("p") >= support).select("feature", gain).where(F.col("gain") >= margin)
+    return np.sort(np.array([row[0] for row in best.orderBy(F.desc("gain"), "feature").limit(most).collect()], np.int64))
 
 
 def _samples(rows: DataFrame, kept: np.ndarray, most: dict[str, int]) -> dict[str, list[np.ndarray]]:
@@ -187,19 +193,15 @@ def _samples(rows: DataFrame, kept: np.ndarray, most: dict[str, int]) -> dict[st
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many positives (p) and documents (u) a feature occurs; as feature SPACE, how many there are."""
+    """In how many documents a feature occurs; as feature SPACE, how many there are."""
     memo = Memo(features_of)
-    p, u = np.zeros(SPACE + 1, np.int64), np.zeros(SPACE + 1, np.int64)
+    n = np.zeros(SPACE + 1, np.int64)
     for batch in batches:
-        for text, positive in zip(batch.column("text").to_pylist(), batch.column("positive").to_pylist()):
-            found = {f for word in words_of(text) for f in memo[word]}
-            found.add(SPACE)
-            at = np.fromiter(found, np.int64, len(found))
-            u[at] += 1
-            if positive:
-                p[at] += 1
-    some = np.flatnonzero(u)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(p[some]), pa.array(u[some])], names=["feature", "p", "u"])
+        for text in batch.column("text").to_pylist():
+            found = set().union(*map(memo.__getitem__, words_of(text)), (SPACE,))
+            n[np.fromiter(found, np.int64, len(found))] += 1
+    some = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["feature", "n"])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
