@@ -46,10 +46,15 @@ def _sum(parts) -> Column:
     return functools.reduce(operator.add, parts)
 
 
+def encoding(value: Column) -> Column:
+    """The encoding that the characters of `value` suggest."""
+    is_hex, is_base32 = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), value.rlike("^[A-Z2-7]+$")
+    return F.when(is_hex, "hex").when(is_base32, "base32").otherwise("base64")
+
+
 def p_value(value: Column) -> Column:
     """How well `value` agrees with independent uniform characters of the alphabet its characters suggest."""
-    is_hex = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
-    is_base32 = value.rlike("^[A-Z2-7]+$")
+    is_hex, is_base32 = encoding(value) == "hex", encoding(value) == "base32"
     normal = F.when(is_hex, F.lower(value)).otherwise(F.translate(value, "-_", "+/"))
     alphabet = F.when(is_hex, ALPHABETS["hex"]).when(is_base32, ALPHABETS["base32"]).otherwise(ALPHABETS["base64"])
     size = F.char_length(alphabet).cast("double")
@@ -180,9 +185,21 @@ def digest(found: DataFrame) -> DataFrame:
         *[of_kind(F.col("base"), k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(as_text(F.col("base"), KINDS), 256).alias("base_sha256"),
         as_text(F.col("spans"), KINDS).alias("spans"),
+        F.array_join(F.transform("base", _tested), ",").alias("base_tests"),
     )
 
 
+def _tested(span: Column) -> Column:
+    """encoding:p of a base span's value, or `other` if it has characters of no encoding: what the battery makes of known secrets."""
+    secret = F.when(span["kind"] == 0, F.regexp_extract(span["value"], ASSIGN, 1)).otherwise(span["value"])
+
+    def shown(value: Column) -> Column:
+        tested = F.concat_ws(":", encoding(value), F.format_string("%.4f", p_value(value)))
+        return F.when(value.rlike("^[A-Za-z0-9+/_-]{6,}$"), tested).otherwise("other")
+
+    return F.transform(F.array(secret), shown)[0]
+
+
 def without_secrets(docs: DataFrame, fdr: float = 0.1) -> DataFrame:
     """The documents, with all their columns and in full number, with [KIND] in place of each secret; n_chars follows."""
     least = thresholds(checkpointed(scan(docs).select("candidates")), fdr)
