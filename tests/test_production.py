@@ -9,6 +9,8 @@ from files import rows
 from pyspark.sql import functions as F
 
 from fleetlens.operators import production, quality, relational as rel, states
+from fleetlens.plans import catalog
+from fleetlens.plans.fixtures import Fixtures
 
 D1, D2, D3 = (dt.date(2025, 12, n) for n in (1, 2, 3))
 SCHEMA = (
@@ -220,3 +222,11 @@ def test_facts_of_unmatched_days_and_year_edges(spark):
         "down_hours", "bagged_hours", "total_hours", "is_bagged", "part_replacement_detected", "counter_column_used",
         "counter_keyword_used",
     }
+
+
+def test_daily_fact_from_one_join_equals_that_of_two(spark):
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    counters, hours = catalog.raw_counters(fx), catalog.daily_hours(fx).checkpoint()
+    one = production.daily_from_counters(counters, hours)
+    two = production.daily_production(production.wafer_production(counters, hours), hours)
+    assert one.columns == two.columns and rows(one, "*") == rows(two, "*")
