@@ -6,14 +6,17 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter as Counted
+from html import unescape
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, html_text, pii, secrets, simhash, toxicity
-from fleetlens.llm.common import hash_memo, mixed
+from fleetlens.llm import chat, html_text, hyperminhash, pii, secrets, simhash, spans, toxicity
+from fleetlens.llm.common import bloom_filter, checkpointed, hash_memo, maybe_among, mixed
 from fleetlens.llm.components import components
 from fleetlens.llm.decontaminate import SuffixAutomaton, contamination, decontaminate, words_of
 from fleetlens.llm.hyperminhash import bands_for, near_duplicates, without_near_duplicates
@@ -131,6 +134,49 @@ def test_toxicity_selects_features_from_all_documents(spark, monkeypatch):
     assert set(toxicity.features_of("vile")) <= set(seen[0]) and set(toxicity.features_of("nasty")) <= set(seen[0])
 
 
+def test_features_are_counted_in_all_documents(spark):
+    chooser = random.Random(8)
+    texts = [" ".join(chooser.choices(["some", "words", "Nasty", "wordless", "été", "a1b"], k=chooser.randint(0, 9))) for _ in range(300)] + [None]
+    docs = docs_of(spark, texts).select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id < 20")).repartition(5)
+    positives = spark.createDataFrame([(i,) for i in range(0, 400, 3)], "id long")
+    want = {}
+    for doc_id, text in docs.collect():
+        for feature in {f for word in toxicity.words_of(text) for f in toxicity.features_of(word)} | {toxicity.SPACE}:
+            p, u = want.get(feature, (0, 0))
+            want[feature] = (p + (doc_id % 3 == 0), u + 1)
+    assert {row.feature: (row.p, row.u) for row in toxicity.feature_counts(docs, positives).collect()} == want
+
+
+def test_fit_follows_the_slope_of_the_risk():
+    chooser = np.random.default_rng(3)
+    kept = np.arange(100, 112)
+    positive = [np.flatnonzero(chooser.random(12) < np.r_[0.8, [0.2] * 11]) for _ in range(60)]
+    unlabelled = [np.flatnonzero(chooser.random(12) < 0.25) for _ in range(200)]
+    prior, l2 = 0.1, 2e-4
+
+    def risk(w, bias):
+        z = [np.array([w[x].sum() + bias for x in rows]) for rows in (positive, unlabelled)]
+        rest = np.logaddexp(0, z[1]).mean() - prior * np.logaddexp(0, z[0]).mean()
+        return prior * np.logaddexp(0, -z[0]).mean() + max(0.0, rest) + l2 / 2 * (w**2).sum()
+
+    model = toxicity.fit(positive, unlabelled, kept, prior, steps=3000, l2=l2)
+    w = np.array([model.weights.get(int(k), 0.0) for k in kept])
+    steps = [risk(w + d, model.bias) - risk(w - d, model.bias) for d in 1e-5 * np.eye(12)]
+    assert np.abs(np.array(steps) / 2e-5).max() < 0.02
+    assert risk(w, model.bias) < risk(np.zeros(12), np.log(prior / (1 - prior))) and w.argmax() == 0
+
+
+def test_bloom_filter_misses_no_key(spark):
+    frame = spark.range(20_000).select(F.xxhash64("id").alias("h"), (F.col("id") % 7 == 0).alias("member"))
+    words = bloom_filter(frame.where("member").select("h"))
+    passed = frame.where(maybe_among(spark, words, F.col("h"))).groupBy("member").count().collect()
+    counts = {row.member: row["count"] for row in passed}
+    assert counts[True] == 2858 and counts.get(False, 0) < 500
+    none = bloom_filter(frame.where("false").select("h"))
+    assert frame.where(maybe_among(spark, none, F.col("h"))).count() == 0
+
+
 def test_toxicity_without_labels_or_documents(odd, empty, spark):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int").where("doc_id = 1")
     assert [r.score for r in toxicity.scored(odd, toxicity.train(odd, none)).collect()] == [0.0] * odd.count()
@@ -188,6 +234,15 @@ def test_copies_decide_no_thresholds(spark):
         assert all(got[i] == got[keys.index(copied)] for i in range(300, 800))
 
 
+def test_known_secrets_show_what_the_battery_makes_of_them(spark):
+    texts = ["password=hunter.22", "token: 8f3Kq2Zx9LmT4vWb7YcD1sNe", "secret=aaaaaaaaaaaaaaaaaaaa", "no secret", None]
+    got = {row.doc_id: row.base_tests for row in secrets.digest(secrets.find_secrets(docs_of(spark, texts))).collect()}
+    assert got[0] == "other" and got[3] == got[4] == ""
+    assert got[1].startswith("base64:") and float(got[1].split(":")[1]) > 0.05
+    # Of a and nothing else: hexadecimal by its characters, and as unlike a random string as can be.
+    assert got[2] == "hex:0.0000"
+
+
 def test_secrets_on_odd_rows(spark, odd, empty):
     texts = ["token: token=abcdef", "secret:token:abcdefgh", "Password = 'x'", "AKIA" + "A" * 16 + "AKIA1", "f" * 30 + "g" + "0" * 24]
     rows = [tuple(r)[1:4] for r in secrets.digest(secrets.find_secrets(docs_of(spark, texts))).orderBy("doc_id").collect()]
@@ -234,6 +289,89 @@ def test_revealing_terms_are_sought_in_whole_documents(spark):
     assert all(made[i] == texts[i] for i in range(8, 208))
 
 
+# --- spans ------------------------------------------------------------------------------------------------------------
+
+#: The contract's base patterns of secrets and personal data, for Python's own matcher.
+BASE = {
+    "assign": (r"""((?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", lambda m: len(m[2]) >= 6),
+    "access": (r"(AKIA[A-Z0-9]+)", lambda m: len(m[1]) >= 20),
+    "hex": (r"([0-9a-f]+)", lambda m: len(m[1]) >= 24),
+    "email": (r"([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+)", lambda m: True),
+    "ip": (r"([0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+))", lambda m: all(int(x) <= 255 for x in m[1].split("."))),
+    "card": (r"([0-9]([\x20-]?[0-9])+)", lambda m: 12 <= len(digits(m[1])) <= 19 and luhn(digits(m[1]))),
+    "phone": (r"(\+[0-9][\x20().0-9-]+[0-9])", lambda m: 9 <= len(digits(m[1])) <= 15),
+}
+
+
+def digits(text):
+    return re.sub("[^0-9]", "", text)
+
+
+def luhn(number):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(number))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def base_spans(text, kinds):
+    found = []
+    for k, kind in enumerate(kinds):
+        pattern, keep = BASE[kind]
+        found += [(m.start(), k, m.end()) for m in re.finditer(pattern, text or "") if keep(m)]
+    return ",".join(f"{kinds[k]}:{start}:{end}" for start, k, end in sorted(found))
+
+
+def texts_with_spans(n):
+    chooser = random.Random(11)
+    parts = ["password: hunter22x", "TOKEN='ab.cd-ef'", "api_key=x", "AKIA" + "Q" * 18, "AKIAQ", "deadbeef" * 4, "abc", "me@x.org", "a@b..c", "a.b%c@d-e.co.uk",
+             "10.0.0.255", "1.2.3.4.5", "999.1.1.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 1234-5678", "+1 2", "é日😀", "secret = \"zz", "plain"]
+    texts = ["".join(chooser.choice(parts) + chooser.choice([" ", "", ",", "\n"]) for _ in range(chooser.randint(0, 40))) for _ in range(n)]
+    return [*texts, *("".join(chooser.choices("+0123456789. -()@akAKI:=", k=200)) for _ in range(n)), None, ""]
+
+
+def test_base_spans_equal_pythons_matcher(spark):
+    texts = texts_with_spans(150)
+    for module, find, kinds in ((secrets, secrets.find_secrets, secrets.KINDS[:3]), (pii, pii.find_personal_data, pii.KINDS[:4])):
+        got = {row.doc_id: row for row in module.digest(find(docs_of(spark, texts))).collect()}
+        for i, text in enumerate(texts):
+            want = base_spans(text, kinds)
+            assert got[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest(), (text, want)
+            assert set(filter(None, want.split(","))) <= set(got[i].spans.split(","))
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_spans_are_placed_and_cut_out_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(spans, "BLOCK", block)
+    texts = [text or "" for text in texts_with_spans(30)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = F.expr("regexp_extract_all(text, '[0-9]+', 0)")
+    numbers = spans.placed(F.col("text"), found, "[0-9]+", 1)
+    wide = spans.placed(F.col("text"), F.expr("regexp_extract_all(text, '[0-9]..', 0)"), "[0-9]..", 0)
+    both = spans.in_order(wide, numbers)
+    made = rows.select("text", numbers.alias("n"), both.alias("both"), spans.redacted(F.col("text"), both, ["w", "n"]).alias("out"),
+                       spans.uncovered(numbers, wide, 1).alias("free"), wide.alias("wide")).collect()
+    for row in made:
+        assert [(s.start, s.end, s.value) for s in row.n] == [(*m.span(), m[0]) for m in re.finditer("[0-9]+", row.text)]
+        covered = {i for s in row.wide for i in range(s.start, s.end)}
+        assert [s.start for s in row.free] == [s.start for s in row.n if not covered & set(range(s.start, s.end))]
+        out, at = "", 0
+        for s in row.both:
+            if s.start >= at:
+                out += row.text[at : s.start] + ("[W]" if s.kind == 0 else "[N]")
+            at = max(at, s.end)
+        assert row.out == out + row.text[at:]
+
+
+def test_very_many_spans_of_one_text(spark):
+    text = " ".join(f"4111 1111 1111 {i:04d}, {i}.0.0.1 word{i % 90}x" for i in range(12_000)) + " me@x.org"
+    start = time.perf_counter()
+    (row,) = pii.digest(pii.find_personal_data(docs_of(spark, [text]))).collect()
+    assert row.base_sha256 == hashlib.sha256(base_spans(text, pii.KINDS[:4]).encode()).hexdigest()
+    keys = " ".join(f"token={i:08d} {i}Zq{i * i}kVbX{i * 7919}hJ" for i in range(8_000))
+    (row,) = secrets.digest(secrets.find_secrets(docs_of(spark, [keys]))).collect()
+    assert row.base_sha256 == hashlib.sha256(base_spans(keys, secrets.KINDS[:3]).encode()).hexdigest()
+    assert time.perf_counter() - start < 120
+
+
 # --- fingerprints -----------------------------------------------------------------------------------------------------
 
 
@@ -346,6 +484,50 @@ def test_near_duplicates_equal_brute_force(spark, k, percent):
     assert got == {i: (len(s), label[i]) for i, s in enumerate(sets)}
 
 
+def labels_by_matrix(texts, k, percent):
+    """The least row that each row reaches over links, from all pairs of sets."""
+    sets = [shingles(t, k) for t in texts]
+    number = {x: i for i, x in enumerate(sorted(set().union(*sets)))}
+    matrix = np.zeros((len(sets), len(number)), np.float32)
+    for i, x in enumerate(sets):
+        matrix[i, [number[y] for y in x]] = 1
+    both, n = (matrix @ matrix.T).round().astype(np.int64), matrix.sum(axis=1).astype(np.int64)
+    linked = both * 100 >= (n[:, None] + n[None, :] - both) * percent
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(linked, label[None, :], len(sets)).min(axis=1)
+        if (new == label).all():
+            return label
+        label = new
+
+
+def near_threshold_texts(kind, n, seed):
+    chooser = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    if kind == "sentences":  # many common sentences: similarities spread below and around the threshold
+        lines = [" ".join(chooser.choices(words, k=8)) for _ in range(24)]
+        return [" ".join(lines[i] for i in sorted(chooser.sample(range(24), chooser.choice([17, 17, 20, 22])))) for _ in range(n)]
+    base, texts = chooser.choices(words, k=150), []
+    for i in range(n):  # edits that others have too, at the threshold and beyond it
+        copy = list(base) + (["the", "same", "end"] if i % 3 else [])
+        for _ in range(chooser.choice([0, 2, 4, 5, 6, 7, 8])):
+            at = chooser.randrange(len(copy) - 1)
+            copy[at : at + 1] = chooser.choice([[], [copy[at], copy[at]], [words[at % 7]], [chooser.choice(words)]])
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("kind", ["sentences", "edits"])
+def test_groups_around_the_threshold_equal_all_pairs(spark, monkeypatch, kind):
+    made, across, n = [], hyperminhash._across, 1200
+    monkeypatch.setattr(hyperminhash, "_across", lambda *given: made.append(checkpointed(across(*given))) or made[-1])
+    texts = near_threshold_texts(kind, n, seed=n)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs_of(spark, texts), 3, 85).collect()}
+    assert [got[i] for i in range(n)] == labels_by_matrix(texts, 3, 85).tolist()
+    # Where edits coincide, or texts are mixes of the same sentences, a small share of all pairs is left (README).
+    assert 0 < made[-1].count() < n * n / 2 * (0.1 if kind == "sentences" else 0.02)
+
+
 def test_near_duplicates_on_odd_rows(odd, empty):
     assert near_duplicates(odd).count() == odd.count()
     kept = without_near_duplicates(odd)
@@ -405,6 +587,57 @@ def test_main_text_keeps_all_clusters_and_looks_into_named_elements():
     assert html_text.main_text(f"<head><title>T</title><body><p>{body}") == body
 
 
+def test_main_text_of_odd_shapes():
+    words = lambda n, w: " ".join(f"{w}{i}" for i in range(n))
+    short, long, longer = words(6, "short"), words(40, "long"), words(90, "longer")
+    menu = "".join(f"<li><a href='/{i}'>Entry {i}</a></li>" for i in range(6))
+    # A short article and a long footer; long comments below an article of one line, also as articles of their own.
+    assert html_text.main_text(f"<body><article>{short}</article><footer>&copy; {long}</footer>") == short
+    for start in ("<section class=comments>", "<div id='comment-list'>", "<article class=comment>"):
+        tag = start[1:].split()[0]
+        said = f"<article><p>{long}</article>" * 3 + f"<p>{longer}" * 2
+        assert html_text.main_text(f"<article><p>{short}</p></article>{start}{said}</{tag}>") == short
+        assert html_text.main_text(f"<article><p>{short}</p>{start}<p>{long}<p>{long}</{tag}></article>") == short
+    # Words of classes inside an article.
+    for name in ("related-work", "search-results", "share-price", "notice-board-history"):
+        page = f"<article><p>{long}</p><section class='{name}'><p>{longer}</p></section><p>{short}</article>"
+        assert html_text.main_text(page) == f"{long} {longer} {short}"
+    assert html_text.main_text(f"<article><p>{longer}</p><div class='share-buttons'>{short}</div><p>{long}</article>") == f"{longer} {long}"
+    # No names at all: a menu, a line on copyright, a text on cookies.
+    page = f"<body><div class=x1><ul>{menu}</ul></div><div class=x2><h1>Title</h1><p>{long}<p>{longer}<p>{short}</div>"
+    page += f"<div class=x3>&copy; 2024 {short}</div><div class=cc-window>We use cookies. {short}</div>"
+    assert html_text.main_text(page) == f"Title {long} {longer} {short}"
+    # A teaser beside main; a form around or inside it.
+    assert html_text.main_text(f"<main><h1>T</h1><p>{long}</main><article><p>{longer}</article>") == f"T {long}"
+    assert html_text.main_text(f"<form><main><p>{long}</main></form><form>{longer}</form>") == long
+    assert html_text.main_text(f"<main><form><p>{long}<p>{longer}</form></main>") == f"{long} {longer}"
+
+
+def test_main_text_of_all_test_pages():
+    import duckdb
+
+    own = re.compile(r"<article>(.*?)</article>", re.DOTALL)
+    for page_id, html in duckdb.sql("SELECT page_id, html FROM '/root/testdata/sf0.1/pages.parquet'").fetchall():
+        plain = re.sub(r"<[^>]*>", lambda tag: " " if tag[0].rstrip("/>")[1:].strip("/ ") in ("p", "br", "h1") else "", own.search(html)[1])
+        assert html_text.main_text(html) == " ".join(unescape(plain).split()), page_id
+
+
+def test_main_text_of_unclosed_markup_is_linear():
+    start = time.perf_counter()
+    for mark in ("<!--", "<div ", "<div", "</div"):
+        assert html_text.main_text("<p>said</p>" + mark * 100_000) == "said"
+    assert time.perf_counter() - start < 10
+    assert html_text.main_text("<p>a &lt; b</p>1 < 2") == "a < b 1 < 2"
+
+
+def test_extract_on_odd_rows(spark):
+    rows = [(1, None, None, "t", 1), (2, "u", "", "t", 1), (None, "v", "<p>text &amp; more", "t", 1), (None, "v", "<p>text &amp; more", "t", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = sorted(map(tuple, html_text.extract(pages).collect()), key=str)
+    assert got == sorted([(1, None, "", 0), (2, "u", "", 0), (None, "v", "text & more", 11), (None, "v", "text & more", 11)], key=str)
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 # --- decontamination --------------------------------------------------------------------------------------------------
 
 
