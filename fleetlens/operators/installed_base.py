@@ -4,7 +4,9 @@ A configuration is (Three_CEID, Process_Node).  A tool counts once per part, how
 part's configurations it is in, so per-part counts are distinct counts over parts x tools.  Those
 pairs are never produced: parts that apply to the same set of configurations share their count, and
 so do tools listed under the same configurations and ages.  Both sides are first reduced to such
-classes, with a weight for the tools, and only classes are joined.
+classes, with a weight for the tools.  Tools listed under one configuration only, most of them, are
+counted per configuration, and the counts add up over a part's set; only classes of tools listed
+under several are joined with sets.
 """
 
 from __future__ import annotations
@@ -152,16 +154,19 @@ def tool_listings(tools: DataFrame, asof: dt.date, inactive: Sequence[str]) -> D
     )
 
 
+def _set() -> Column:
+    """A set of configurations by a digest, so that its rows need not carry all of it."""
+    return F.md5(F.to_json("configs").cast("binary"))
+
+
 def _matches(part_sets: DataFrame, listings: DataFrame) -> DataFrame:
     """Pairs of a configuration set and a listing that share a configuration, each pair once.
 
     ``shared`` holds the listing's entries within the set.  A pair that meets in several
     configurations is kept at the first of them only.
     """
-    left = part_sets.select("configs", F.explode("configs").alias("config"))
-    right = listings.select(
-        "*", F.explode(F.array_distinct(F.transform("listing", lambda entry: entry["config"]))).alias("config")
-    )
+    left = part_sets.select("*", F.explode("configs").alias("config"))
+    right = listings.select("*", F.explode(_listed_configs()).alias("config"))
     shared = F.filter("listing", lambda entry: F.array_contains(F.col("configs"), entry["config"]))
     return (
         left.join(right, "config")
@@ -171,23 +176,39 @@ def _matches(part_sets: DataFrame, listings: DataFrame) -> DataFrame:
     )
 
 
-def _tools_per_config_set(part_sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct active tools, in total and by age, for each set of configurations."""
+def _listed_configs() -> Column:
+    return F.array_distinct(F.transform("listing", lambda entry: entry["config"]))
+
+
+def _weights(entries: str) -> list[Column]:
+    """Tools in total and by age, of classes with a weight and the entries that count."""
 
     def counted(age: str) -> Column:
-        return F.exists("shared", lambda entry: entry["age"] == age)
+        return F.exists(entries, lambda entry: entry["age"] == age)
+
+    return [
+        F.sum("n_tools").alias("Number_of_active_tools"),
+        *[
+            F.coalesce(F.sum(F.when(counted(age), F.col("n_tools"))), F.lit(0)).alias(name)
+            for age, name in params.AGE_COLUMNS.items()
+        ],
+    ]
 
-    return (
-        _matches(part_sets, classes)
-        .groupBy("configs")
-        .agg(
-            F.sum("n_tools").alias("Number_of_active_tools"),
-            *[
-                F.coalesce(F.sum(F.when(counted(age), F.col("n_tools"))), F.lit(0)).alias(name)
-                for age, name in params.AGE_COLUMNS.items()
-            ],
-        )
-    )
+
+def _tools_per_config_set(part_sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct active tools, in total and by age, for each ``set`` of configurations that has any.
+
+    A tool under one configuration is in a set as often as this configuration, once; so such tools are counted per
+    configuration and added up.  What remains are the classes of tools under several configurations.
+    """
+    part_sets = part_sets.select("configs").distinct().withColumn("set", _set())
+    alone = classes.where(F.size(_listed_configs()) == 1)
+    per_config = alone.groupBy(F.get("listing", F.lit(0))["config"].alias("config")).agg(*_weights("listing"))
+    added = part_sets.select("set", F.explode("configs").alias("config")).join(per_config, "config")
+    several = _matches(part_sets, classes.where(F.size(_listed_configs()) > 1)).groupBy("set").agg(*_weights("shared"))
+    counts = ["Number_of_active_tools", *_AGE_COLUMNS]
+    both = added.select("set", *counts).unionByName(several.select("set", *counts))
+    return both.groupBy("set").agg(*[F.sum(name).alias(name) for name in counts])
 
 
 def part_tool_counts(
@@ -195,8 +216,8 @@ def part_tool_counts(
 ) -> DataFrame:
     """Distinct active tools per part, in total and by age, for parts with any active tool."""
     parts = gbom_by_part(gbom).select("Part_Number", "configs")
-    counts = _tools_per_config_set(parts.select("configs").distinct(), tool_classes(tools, asof, inactive))
-    return parts.join(counts, "configs").drop("configs")
+    counts = _tools_per_config_set(parts, tool_classes(tools, asof, inactive))
+    return parts.select("Part_Number", _set().alias("set")).join(counts, "set").drop("set")
 
 
 def leadership(
@@ -209,8 +230,8 @@ def leadership(
 ) -> DataFrame:
     """One row per stocked part: stock, demand, applicability, active tools by age, advice."""
     parts = gbom_by_part(gbom)
-    counts = _tools_per_config_set(parts.select("configs").distinct(), tool_classes(tools, asof, inactive))
-    known = parts.join(counts, "configs", "left").drop("configs").withColumn("in_gbom", F.lit(True))
+    counts = _tools_per_config_set(parts, tool_classes(tools, asof, inactive))
+    known = parts.withColumn("set", _set()).drop("configs").join(counts, "set", "left").drop("set").withColumn("in_gbom", F.lit(True))
     stock = inventory_by_part(inventory, "Amount_of_stock", supplier_order)
     rows = fill_counts(stock.join(known, "Part_Number", "left"), ["Number_of_active_tools", *_AGE_COLUMNS])
     active, listed = F.col("Number_of_active_tools"), F.coalesce("in_gbom", F.lit(False))

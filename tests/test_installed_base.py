@@ -145,3 +145,28 @@ def test_small_reports(spark):
     right = spark.createDataFrame([(3, 4)], "c int, b int")
     both = rel.union_dynamic([left, right])
     assert both.columns == ["b", "a", "c"] and rows(both, "b", "a", "c") == [(1, 2, None), (4, None, 3)]
+
+
+def test_parts_with_sets_of_their_own_over_one_large_configuration(spark, monkeypatch):
+    """All sets differ, a third of the tools are in one configuration: counts add up, few pairs of classes are made."""
+    chooser = random.Random(4)
+    gbom, tools = [], []
+    for part in range(500):
+        for node in {0, *chooser.sample(range(1, 60), 4), 60 + part}:
+            gbom.append((f"P{part}", "A", str(node), "t", 1))
+    for tool in range(600):
+        nodes = [0] if tool % 3 == 0 else [chooser.randrange(60)]
+        nodes += [chooser.randrange(60)] if tool % 50 == 0 else []
+        start = str(ASOF - dt.timedelta(days=chooser.randrange(3000)))
+        tools += [(f"T{tool}", "L", "A", str(node), "Installed", start) for node in nodes]
+    gbom_df, tools_df = spark.createDataFrame(gbom, GBOM), spark.createDataFrame(tools, TOOLS)
+    made, matches = [], base._matches
+    monkeypatch.setattr(base, "_matches", lambda *given: made.append(matches(*given)) or made[-1])
+    got = {row.Part_Number: row.Number_of_active_tools for row in base.part_tool_counts(gbom_df, tools_df, ASOF).collect()}
+    nodes_of = {}
+    for part, _, node, *_ in gbom:
+        nodes_of.setdefault(part, set()).add(node)
+    want = {part: len({tool for tool, _, _, node, *_ in tools if node in nodes}) for part, nodes in nodes_of.items()}
+    assert got == want
+    # Only the dozen tools under two configurations meet sets, not all 600.
+    assert made[0].count() <= 12 * 500
