@@ -5,12 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.functions import pandas_udf
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,45 +53,42 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-#: Bits of a Bloom filter: the least and the most (8 MB, which is what a task is sent), and those per key in between.
-BLOOM_LEAST, BLOOM_MOST, BLOOM_PER_KEY = 1 << 16, 1 << 26, 16
+#: Bits of a filter of keys: the least and the most (a table of 16 MB, which is what a task is sent), and those per key in between.
+FILTER_LEAST, FILTER_MOST, FILTER_PER_KEY = 1 << 16, 1 << 26, 32
 
 
-def bloom_filter(hashes: DataFrame) -> np.ndarray:
-    """The words of a Bloom filter over `hashes`, one column of longs.
+@dataclass(frozen=True)
+class KeyFilter:
+    """A Bloom filter with one hash function, as a table (word, bits) of the words that have any bit set.
 
     Its size is bounded: with more keys than that is meant for, more rows pass that needn't, but none is lost.
     """
-    (name,) = hashes.columns
-    keys = hashes.count()
-    bits = max(BLOOM_LEAST, min(BLOOM_MOST, 1 << (BLOOM_PER_KEY * keys).bit_length()))
-    places = F.explode(F.array(*[place.bitwiseAND(F.lit(bits - 1)) for place in (F.col(name), F.shiftright(name, 32))]))
-    words = hashes.select(places.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
-    found = words.agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).toArrow()
-    made = np.zeros(bits // 64, np.uint64)
-    made[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return made
 
+    words: DataFrame
+    bits: int
 
-def maybe_among(spark: SparkSession, words: np.ndarray, hash: Column) -> Column:
-    """Whether a Bloom filter holds a key (true for all of its keys and few others): a filter before a shuffle."""
-    shared = spark.sparkContext.broadcast(words)
+    @classmethod
+    def of(cls, hashes: DataFrame) -> KeyFilter:
+        """The filter of a column of longs."""
+        (name,) = hashes.columns
+        hashes = checkpointed(hashes)
+        bits = max(FILTER_LEAST, min(FILTER_MOST, 1 << (FILTER_PER_KEY * hashes.count()).bit_length()))
+        place = F.col(name).bitwiseAND(F.lit(bits - 1)).alias("bit")
+        words = hashes.select(place).groupBy(F.shiftright("bit", 6).alias("__word"))
+        return cls(checkpointed(words.agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("__bits"))), bits)
 
-    @pandas_udf("boolean")
-    def among(hashes):
-        words, found = shared.value, True
-        for places in (hashes.to_numpy(), hashes.to_numpy() >> 32):
-            places = places & (64 * len(words) - 1)
-            found = found & ((words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-        return pd.Series(found)
-
-    return among(hash)
+    def mark(self, rows: DataFrame, hash: Column) -> DataFrame:
+        """`rows` with `__maybe`: true for all keys of the filter, and few others; the words are broadcast."""
+        rows = rows.withColumn("__place", hash.bitwiseAND(F.lit(self.bits - 1)))
+        marked = rows.join(F.broadcast(self.words), F.shiftright("__place", 6) == F.col("__word"), "left")
+        has = F.expr("(shiftright(__bits, cast(__place & 63 as int)) & 1) = 1")
+        return marked.withColumn("__maybe", F.coalesce(has, F.lit(False))).drop("__place", "__word", "__bits")
 
 
 class Memo(dict):
     """Values of a function of one word, kept until there are `limit` of them; then it starts anew."""
 
-    def __init__(self, function, limit: int = 400_000):
+    def __init__(self, function, limit: int = 200_000):
         super().__init__()
         self.function, self.limit = function, limit
 

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetlens.llm.common import Memo, bloom_filter, checkpointed, hash_memo, maybe_among, mixed, ship, word_hashes
+from fleetlens.llm.common import KeyFilter, Memo, checkpointed, hash_memo, mixed, ship, word_hashes
 from fleetlens.llm.components import components
 
 MANTISSA_BITS = 10
@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
 
 
 #: Bytes of registers and sets that one block holds.
-_BLOCK_BYTES = 48 << 20
+_BLOCK_BYTES = 24 << 20
 
 
 def _grouped(docs: DataFrame, words: int, percent: int, miss: float = 1e-6) -> DataFrame:
@@ -300,8 +300,8 @@ def _full(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) ->
     """
     found = classes.join(wanted.select("rep"), "rep", "left_semi")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    filter_ = bloom_filter(found.select(F.xxhash64("doc_id", "text_hash")))
-    some = texts.where(maybe_among(docs.sparkSession, filter_, F.xxhash64("doc_id", F.xxhash64("text"))))
+    wanted = KeyFilter.of(found.select(F.xxhash64("doc_id", "text_hash").alias("key")))
+    some = wanted.mark(texts, F.xxhash64("doc_id", F.xxhash64("text"))).where("__maybe")
     sets = shingle_sets(some, words).select(F.xxhash64("digest").alias("rep"), "shingles")
     return found.select("rep", "signature").join(sets, "rep").dropDuplicates(["rep"])
 
@@ -391,9 +391,11 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     named = checkpointed(named.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("stays").isNotNull().alias("__stays")))
 
     hashed = docs.withColumn("__text_hash", F.xxhash64(docs["text"]))
-    filter_ = bloom_filter(named.select(F.xxhash64("__id", "__hash")))
-    passing = maybe_among(docs.sparkSession, filter_, F.xxhash64(docs["doc_id"].cast("long"), "__text_hash"))
-    same = hashed["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (hashed["__text_hash"] == F.col("__hash"))
-    some = hashed.where(passing).join(named, same, "left").where(F.coalesce("__stays", F.lit(True)))
+    marked = KeyFilter.of(named.select(F.xxhash64("__id", "__hash").alias("key"))).mark(
+        hashed, F.xxhash64(F.col("doc_id").cast("long"), "__text_hash")
+    )
+    passing = marked.where("__maybe")
+    same = passing["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (passing["__text_hash"] == F.col("__hash"))
+    some = passing.join(named, same, "left").where(F.coalesce("__stays", F.lit(True)))
     some = some.dropDuplicates(["doc_id", "__text_hash"]).select(*hashed.columns)
-    return hashed.where(~passing).union(some).drop("__text_hash")
+    return marked.where("NOT __maybe").select(*hashed.columns).union(some).drop("__text_hash")

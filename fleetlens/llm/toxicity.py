@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlens.llm.common import Memo, bloom_filter, checkpointed, maybe_among, ship
+from fleetlens.llm.common import KeyFilter, Memo, checkpointed, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -154,9 +154,8 @@ def feature_counts(texts: DataFrame, positives: DataFrame) -> DataFrame:
     Feature SPACE counts the documents.  All are counted where they lie, a task's before they are shuffled.  Of the texts only
     those that a Bloom filter of the positive ids lets through go through the join that tells which ones are positive.
     """
-    spark = texts.sparkSession
-    words = bloom_filter(positives.select(F.xxhash64(F.col("id").cast("string"))))
-    some = texts.where(maybe_among(spark, words, F.xxhash64(F.col("doc_id").cast("string"))))
+    known = KeyFilter.of(positives.select(F.xxhash64(F.col("id").cast("string")).alias("key")))
+    some = known.mark(texts, F.xxhash64(F.col("doc_id").cast("string"))).where("__maybe")
     toxic = some.join(positives, F.col("doc_id") == F.col("id"), "left_semi")
     u = texts.select("text").mapInArrow(_counts, "feature long, n long").select("feature", F.lit(0).cast("long").alias("p"), F.col("n").alias("u"))
     p = toxic.select("text").mapInArrow(_counts, "feature long, n long").select("feature", F.col("n").alias("p"), F.lit(0).cast("long").alias("u"))

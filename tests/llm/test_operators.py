@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from fleetlens.llm import chat, html_text, hyperminhash, pii, secrets, simhash, spans, toxicity
-from fleetlens.llm.common import bloom_filter, checkpointed, hash_memo, maybe_among, mixed
+from fleetlens.llm.common import KeyFilter, checkpointed, hash_memo, mixed
 from fleetlens.llm.components import components
 from fleetlens.llm.decontaminate import SuffixAutomaton, contamination, decontaminate, words_of
 from fleetlens.llm.hyperminhash import bands_for, near_duplicates, without_near_duplicates
@@ -167,14 +167,14 @@ def test_fit_follows_the_slope_of_the_risk():
     assert risk(w, model.bias) < risk(np.zeros(12), np.log(prior / (1 - prior))) and w.argmax() == 0
 
 
-def test_bloom_filter_misses_no_key(spark):
-    frame = spark.range(20_000).select(F.xxhash64("id").alias("h"), (F.col("id") % 7 == 0).alias("member"))
-    words = bloom_filter(frame.where("member").select("h"))
-    passed = frame.where(maybe_among(spark, words, F.col("h"))).groupBy("member").count().collect()
-    counts = {row.member: row["count"] for row in passed}
-    assert counts[True] == 2858 and counts.get(False, 0) < 500
-    none = bloom_filter(frame.where("false").select("h"))
-    assert frame.where(maybe_among(spark, none, F.col("h"))).count() == 0
+def test_key_filter_misses_no_key(spark):
+    frame = spark.range(20_000).select(F.xxhash64("id").alias("h"), (F.col("id") % 7 == 0).alias("member"), F.lit(None).cast("long").alias("none"))
+    marked = KeyFilter.of(frame.where("member").select("h")).mark(frame, F.col("h"))
+    counts = {row.member: row["count"] for row in marked.where("__maybe").groupBy("member").count().collect()}
+    assert counts[True] == 2858 and counts.get(False, 0) < 1000 and marked.count() == 20_000
+    none = KeyFilter.of(frame.where("false").select("h"))
+    assert none.mark(frame, F.col("h")).where("__maybe").count() == 0
+    assert none.mark(frame, F.col("none")).where("NOT __maybe").count() == 20_000
 
 
 def test_toxicity_without_labels_or_documents(odd, empty, spark):
