@@ -154,9 +154,13 @@ def tool_listings(tools: DataFrame, asof: dt.date, inactive: Sequence[str]) -> D
     )
 
 
+def _digest(column: str) -> Column:
+    return F.md5(F.to_json(column).cast("binary"))
+
+
 def _set() -> Column:
     """A set of configurations by a digest, so that its rows need not carry all of it."""
-    return F.md5(F.to_json("configs").cast("binary"))
+    return _digest("configs")
 
 
 def _matches(part_sets: DataFrame, listings: DataFrame) -> DataFrame:
@@ -262,14 +266,38 @@ def _suspects(tools: DataFrame, asof: dt.date, inactive: Sequence[str]) -> DataF
 def bucket_consistency(
     gbom: DataFrame, tools: DataFrame, asof: dt.date, inactive: Sequence[str] = params.INACTIVE_STATUSES
 ) -> DataFrame:
-    """(Part_Number, Tool_ID, Distinct_Buckets) where a tool has several ages within one part."""
-    suspects = _suspects(tools, asof, inactive)
-    parts = gbom_by_part(gbom).select("Part_Number", "configs")
-    return (
-        parts.join(_offences(parts, suspects), "configs")
-        .join(suspects, "listing")
-        .select("Part_Number", "Tool_ID", "Distinct_Buckets")
+    """(Part_Number, Tool_ID, Distinct_Buckets) where a tool has several ages within one part.
+
+    The pairs are the result, however many there are.  Parts and tools are dealt in blocks first; a block is shuffled once
+    for each block of the other side, so about a thousandth as many rows as there are pairs, and the pairs of two blocks are
+    joined in one task, of which there are as many as the session has shuffle partitions.
+    """
+    suspects = _suspects(tools, asof, inactive).select("Tool_ID", "listing", _digest("listing").alias("key"))
+    parts = gbom_by_part(gbom).select("Part_Number", "configs", _set().alias("set"))
+    offences = _offences(parts, suspects).select(_set().alias("set"), _digest("listing").alias("key"), "Distinct_Buckets")
+    offenders = offences.join(suspects.select("key", "Tool_ID"), "key").select("set", "Distinct_Buckets", "Tool_ID")
+    part_blocks = _blocks(parts.select("set", "Part_Number"), ["set"], "Part_Number", "part_block")
+    tool_blocks = _blocks(offenders, ["set", "Distinct_Buckets"], "Tool_ID", "tool_block")
+    both = ["set", "part_block", "Distinct_Buckets", "tool_block"]
+    # A number that is given is kept: by the few bytes of the blocks all pairs would be one task's.
+    n = int(gbom.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = part_blocks.join(tool_blocks.drop("members"), "set").repartition(n, *both)
+    right = tool_blocks.join(part_blocks.drop("members"), "set").repartition(n, *both)
+    pairs = left.select(*both, F.explode("members").alias("Part_Number")).join(
+        right.select(*both, F.explode("members").alias("Tool_ID")), both
     )
+    return pairs.select("Part_Number", "Tool_ID", "Distinct_Buckets")
+
+
+#: Members of a block, about.
+_BLOCK = 1000
+
+
+def _blocks(rows: DataFrame, keys: list[str], member: str, block: str) -> DataFrame:
+    """(keys, block, members): the members of each key, of which none is null, dealt by their hash in blocks of about ``_BLOCK``."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / _BLOCK).alias("blocks"))
+    dealt = rows.join(sizes, keys).select(*keys, member, F.pmod(F.xxhash64(member), "blocks").alias(block))
+    return dealt.groupBy(*keys, block).agg(F.collect_list(member).alias("members"))
 
 
 def offending_tools(

@@ -170,3 +170,16 @@ def test_parts_with_sets_of_their_own_over_one_large_configuration(spark, monkey
     assert got == want
     # Only the dozen tools under two configurations meet sets, not all 600.
     assert made[0].count() <= 12 * 500
+
+
+def test_inconsistent_pairs_are_made_of_blocks(spark, monkeypatch):
+    """Of 60 parts and 50 tools in one configuration, blocks are joined and shuffled, each small; all 3,000 pairs are found."""
+    made, blocks = [], base._blocks
+    monkeypatch.setattr(base, "_BLOCK", 10)
+    monkeypatch.setattr(base, "_blocks", lambda *given: made.append(blocks(*given)) or made[-1])
+    tools = [(f"E{i}", "L", "A", str(node), None, start) for i in range(50) for node, start in ((1, "2025-06-01"), (2, "bad"))]
+    gbom = [(f"P{i}", "A", str(node), "T", 1) for i in range(60) for node in (1, 2)]
+    found = base.bucket_consistency(spark.createDataFrame(gbom, GBOM), spark.createDataFrame(tools, TOOLS), ASOF)
+    assert rows(found, "Part_Number", "Tool_ID", "Distinct_Buckets") == sorted((f"P{p}", f"E{t}|L", 2) for p in range(60) for t in range(50))
+    sizes = [[row.n for row in of.selectExpr("size(members) AS n").collect()] for of in made]
+    assert [sum(of) for of in sizes] == [60, 50] and all(len(of) > 1 and max(of) <= 30 for of in sizes)
