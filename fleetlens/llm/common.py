@@ -18,9 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _SHIPPED: set[str] = set()
 
+#: Rows of one Arrow batch, which both the executor and its Python worker hold whole, several times over as they convert it.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Gives this package to the Python workers of executors on which it isn't installed; once per application."""
+    """Gives this package to the Python workers of executors on which it isn't installed; once per application.
+
+    Batches of the session get `BATCH_ROWS` rows instead of Spark's 10,000, unless it has a size of its own.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

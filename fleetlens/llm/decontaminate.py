@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from fleetlens.llm.common import checkpointed, ship
@@ -167,10 +168,8 @@ def contamination(
     ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     row = F.struct(*[docs[name].alias(name) for name in docs.columns]).alias("row")
-    out = docs.select(
-        row, docs["text"].alias("text"), F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items")
-    )
-    schema = f"row {row_type(docs)}, text string, {_FOUND}"
+    out = docs.select(row, F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    schema = f"row {row_type(docs)}, {_FOUND}"
     passes = 0
     for block in item_blocks(benchmark, block_words):
         if passes:
@@ -179,7 +178,7 @@ def contamination(
         passes += 1
     if not passes:
         out = out.mapInArrow(_matcher(context.broadcast(SuffixAutomaton([], window))), schema)
-    return out.drop("text")
+    return out
 
 
 def row_type(docs: DataFrame) -> str:
@@ -191,8 +190,8 @@ def _matcher(automaton):
         scan = automaton.value.scan
         for batch in batches:
             sizes, hits, all_spans, all_items, cleaned = [], [], [], [], []
-            columns = (batch.column(name).to_pylist() for name in ("text", "spans", "items"))
-            for text, spans, items in zip(*columns):
+            columns = (pc.struct_field(batch.column("row"), "text"), batch.column("spans"), batch.column("items"))
+            for text, spans, items in zip(*(column.to_pylist() for column in columns)):
                 words = words_of(text)
                 new, found = scan(words)
                 spans = merged(spans, new) if spans else new
@@ -202,7 +201,7 @@ def _matcher(automaton):
                 all_items.append(sorted(found.union(items)) if items else sorted(found))
                 cleaned.append(without(text, spans) if spans else None)
             columns = {
-                "row": batch.column("row"), "text": batch.column("text"),
+                "row": batch.column("row"),
                 "n_words": pa.array(sizes, pa.int64()), "n_hit": pa.array(hits, pa.int64()),
                 "spans": pa.array(all_spans, pa.list_(pa.int32())), "items": pa.array(all_items, pa.list_(pa.string())),
                 "cleaned": pa.array(cleaned, pa.string()),

@@ -16,6 +16,7 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from fleetlens.llm.common import Memo, ship
@@ -136,7 +137,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
         for whole in batches:
             for i in range(0, whole.num_rows, 500):
                 batch = whole.slice(i, 500)
-                texts = batch.column("text").to_pylist()
+                texts = pc.struct_field(batch.column("row"), "text").to_pylist()
                 found = [encoder.encode(text) for text in texts]
                 same = [encoder.decode(ids) == (text or "") for ids, text in zip(found, texts)]
                 ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
@@ -145,8 +146,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "round_trip"])
 
     row = F.struct(*[docs[name].alias(name) for name in docs.columns]).alias("row")
-    rows = docs.select(row, docs["text"].alias("text"))
-    return rows.mapInArrow(work, f"row {docs.schema.simpleString()}, ids array<int>, round_trip boolean")
+    return docs.select(row).mapInArrow(work, f"row {docs.schema.simpleString()}, ids array<int>, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens.llm.common import KeyFilter, Memo, checkpointed, ship
@@ -222,11 +223,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Model(*shared.value).scorer()
         for batch in batches:
-            scores = [scorer(text) for text in batch.column("text").to_pylist()]
+            scores = [scorer(text) for text in pc.struct_field(batch.column("row"), "text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"])
 
     row = F.struct(*[docs[name].alias(name) for name in docs.columns]).alias("row")
-    return docs.select(row, docs["text"].alias("text")).mapInArrow(score, f"row {docs.schema.simpleString()}, score double")
+    return docs.select(row).mapInArrow(score, f"row {docs.schema.simpleString()}, score double")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -11,12 +11,13 @@ from collections import Counter as Counted
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from fleetlens.llm import chat, html_text, hyperminhash, pii, secrets, simhash, spans, toxicity
-from fleetlens.llm.common import KeyFilter, checkpointed, hash_memo, mixed
+from fleetlens.llm.common import BATCH_ROWS, KeyFilter, checkpointed, hash_memo, mixed
 from fleetlens.llm.components import components
 from fleetlens.llm.decontaminate import SuffixAutomaton, contamination, decontaminate, words_of
 from fleetlens.llm.hyperminhash import bands_for, near_duplicates, without_near_duplicates
@@ -679,3 +680,25 @@ def test_decontamination_cuts_passages_only(spark, odd, empty):
 
 def test_kinds_of_words():
     assert not re.search("[A-Z]", b" ".join(words_of("ABC Ünder")).decode().replace("Ü", ""))
+
+
+def test_python_workers_get_small_batches_with_each_text_once(spark):
+    """A batch holds at most BATCH_ROWS rows, and the text only as a field of `row`; a size that the session has stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting, None)
+    docs = spark.range(2500).selectExpr("id AS doc_id", "concat('w', id) AS text").coalesce(1)
+    items = spark.createDataFrame([("i", "w7")], "item_id string, text string")
+    try:
+        spark.conf.unset(setting)
+        found = contamination(docs, items)
+        assert "text" not in found.columns and found.where("n_hit > 0").select("row.doc_id").collect() == [(7,)]
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert [row.n for row in sizes] == [BATCH_ROWS, BATCH_ROWS, 500]
+        spark.conf.set(setting, "700")
+        contamination(docs, items)
+        assert spark.conf.get(setting) == "700"
+        model = toxicity.Model(0.0, {}, True)
+        for plan in (contamination(docs, items), toxicity.scored(docs, model)):
+            assert plan.select("row.text").count() == 2500
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
