@@ -11,7 +11,8 @@ and a term is generalised in every document if p(e|t) >= `share`, bits >= `bits`
 contexts show it.  A context is what stands around the entity, and the term's neighbours: copies of one text or passage have one
 context, so they alone make no term revealing.
 
-Spans are found per document (doc_id and a hash of the text); rows that agree in both share them.
+Spans are found per document (doc_id and a hash of the text); rows that agree in both share them.  Of the texts only those go
+through a shuffle, once each, that a Bloom filter of the hashes sought lets through: texts with entities, texts with flagged terms.
 
 A null or empty text has no spans.  Repeated documents give repeated rows, and count as documents.
 """
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlens.llm.common import checkpointed
+from fleetlens.llm.common import KeyFilter, checkpointed
 from fleetlens.llm.spans import SPAN, all_matches, as_text, in_order, of_kind, only, placed, redacted, uncovered
 
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -73,6 +74,10 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind.cast("string"), plain)
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, `base` spans (start, kind, end, value) in order, and entity and context of each (`contexts`); without the text."""
     text = F.col("text")
@@ -114,7 +119,7 @@ def _terms(texts: DataFrame) -> DataFrame:
             word.alias("term"), F.xxhash64(F.get("words", i - 1), F.get("words", i + 1)).alias("beside")
         ),
     )
-    rows = rows.select("text_hash", F.explode(F.array_distinct(beside)).alias("t")).select("text_hash", "t.*")
+    rows = rows.select("text_hash", F.explode(beside).alias("t")).select("text_hash", "t.*")
     return rows.groupBy("text_hash", "term").agg(F.min("beside").alias("beside"))
 
 
@@ -142,8 +147,9 @@ def revealing(docs: DataFrame, scanned: DataFrame, share: float, bits: float, su
     held = checkpointed(held.join(entities.select("entity", "entity_docs"), "entity"))
 
     wanted = texts.join(held.select("text_hash"), "text_hash", "left_semi").select("text_hash", "n", "base")
-    content = docs.select(F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash"), docs["text"].alias("text"))
-    content = content.join(wanted.select("text_hash"), "text_hash", "left_semi")
+    content = docs.select(_text_hash(docs["text"]).alias("text_hash"), docs["text"].alias("text"))
+    content = KeyFilter.of(wanted.select("text_hash")).mark(content, F.col("text_hash")).where("__maybe")
+    # Copies become one row where they lie; the join drops what the filter let through in vain.
     content = content.groupBy("text_hash").agg(F.first("text").alias("text"))
     terms = checkpointed(_terms(content.join(wanted, "text_hash")))
     # In the documents of all entities together a term must have its share, too.
@@ -166,21 +172,25 @@ def revealing(docs: DataFrame, scanned: DataFrame, share: float, bits: float, su
 
 def _marked(docs: DataFrame, flagged: DataFrame) -> DataFrame:
     """(added_id, added_hash, added): the places of flagged terms in all documents that have any."""
-    rows = docs.select(docs["doc_id"].alias("added_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("added_hash"), docs["text"].alias("text"))
+    # One key, so that the text is dealt once; structs that hold the same null are equal.
+    key = F.struct(docs["doc_id"].alias("id"), _text_hash(docs["text"]).alias("hash")).alias("key")
+    rows = docs.select(key, docs["text"].alias("text"))
     terms = checkpointed(flagged.select("term").distinct())
     count = terms.count()
     if count <= SHARED_TERMS:
         terms = F.broadcast(terms)
-    words = rows.select("added_id", "added_hash", F.explode(F.array_distinct(all_matches(F.col("text"), TERM))).alias("word"))
-    words = words.join(terms, F.lower("word") == F.col("term")).groupBy("added_id", "added_hash").agg(F.collect_set("word").alias("words"))
+    words = rows.select("key", F.explode(F.array_distinct(all_matches(F.col("text"), TERM))).alias("word"))
+    words = words.join(terms, F.lower("word") == F.col("term")).groupBy("key").agg(F.collect_set("word").alias("words"))
+    words = checkpointed(words)
+    found = KeyFilter.of(words.select(F.col("key.hash").alias("hash"))).mark(rows, F.col("key.hash")).where("__maybe")
+    # Repeated rows of an id have one text: one of them is enough.
+    found = found.groupBy("key").agg(F.first("text").alias("text")).join(words, "key")
     # As they are spelt in this document; terms consist of letters and digits.
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join("words", "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    words = words.select(F.col("added_id").alias("id"), F.col("added_hash").alias("hash"), pattern.alias("pattern"))
-    same = rows["added_id"].eqNullSafe(words["id"]) & (rows["added_hash"] == words["hash"])
-    # Repeated rows of an id have one text: one of them is enough.
-    found = rows.join(words, same).groupBy("added_id", "added_hash").agg(F.first("text").alias("text"), F.first("pattern").alias("pattern"))
+    found = found.select("key", "text", pattern.alias("pattern"))
     matches = F.regexp_extract_all("text", F.col("pattern"), F.lit(0))
-    return found.select("added_id", "added_hash", placed(F.col("text"), matches, F.col("pattern"), KINDS.index("term")).alias("added"))
+    added = placed(F.col("text"), matches, F.col("pattern"), KINDS.index("term")).alias("added")
+    return found.select(F.col("key.id").alias("added_id"), F.col("key.hash").alias("added_hash"), added)
 
 
 def find_personal_data(docs: DataFrame, share: float = 0.5, bits: float = 4.0, support: int = 2) -> DataFrame:

@@ -290,6 +290,57 @@ def test_revealing_terms_are_sought_in_whole_documents(spark):
     assert all(made[i] == texts[i] for i in range(8, 208))
 
 
+def shuffled(frame):
+    """Bytes that the exchanges of a frame that has run were given."""
+    found, nodes = 0, [frame._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        else:
+            found += node.longMetric("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_texts_without_personal_data_are_not_shuffled(spark, monkeypatch):
+    chooser = random.Random(5)
+    filler = [f"filler{i}" for i in range(60)]
+    texts = [f"{' '.join(chooser.choices(filler, k=8))} Zanzibar office jo@x.org {' '.join(chooser.choices(filler, k=8))}" for _ in range(5)]
+    texts += [f"{i} " + " ".join(chooser.choices(filler, k=2000)) for i in range(200)]
+    # A repeated row, a copy under another id, rows without an id, and rows without a text.
+    rows = [*enumerate(texts), (0, texts[0]), (900, texts[0]), (None, texts[1]), (None, texts[1]), (901, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    frames = []
+
+    def kept(df):
+        frames.append(df)
+        return checkpointed(df)
+
+    monkeypatch.setattr(pii, "checkpointed", kept)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames.append(pii.find_personal_data(docs))
+        got = Counted((row.doc_id, sorted({s.value for s in row.spans if s.kind == 4}) == ["office", "zanzibar"]) for row in frames[-1].collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == Counted((i, "jo@x.org" in (text or "")) for i, text in rows)
+    # Each of the texts went through two joins before.
+    assert sum(map(shuffled, frames)) < 0.5 * sum(map(len, texts))
+
+
+def test_terms_of_a_long_text_take_time_in_proportion(spark):
+    # 60,000 places of a term: each with neighbours of its own, so none of them is as another.
+    texts = [" ".join(f"w{(i * i * (k + 3)) % 59_999}" for i in range(60_000)) + f" jo{k}@x.org me@y.org" for k in range(2)]
+    start = time.perf_counter()
+    assert pii.find_personal_data(docs_of(spark, texts), bits=0.0).count() == 2
+    assert time.perf_counter() - start < 30
+
+
 # --- spans ------------------------------------------------------------------------------------------------------------
 
 #: The contract's base patterns of secrets and personal data, for Python's own matcher.
